@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flatloom.schemas import DocumentModel
+from flatloom.scratch import written
 
 SOURCE = "source_file"
 CORRUPT = "_corrupt_record"
@@ -75,7 +76,9 @@ def read_with_quarantine(
     """Split malformed documents off instead of failing: nothing is lost without a trace."""
     schema = StructType([*model.schema.fields, StructField(CORRUPT, StringType())])
     reader = _configured(spark.read, schema, layout, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    docs = reader.load(paths).withColumn(SOURCE, F.col("_metadata.file_path"))
+    # Written once: both outputs come from one parse, and a text reader cannot be asked
+    # for the corrupt record alone.
+    docs = written(reader.load(paths).withColumn(SOURCE, F.col("_metadata.file_path")), "quarantine")
     return Quarantine(
         good=docs.filter(F.col(CORRUPT).isNull()).drop(CORRUPT),
         rejects=docs.filter(F.col(CORRUPT).isNotNull()).select(SOURCE, F.col(CORRUPT).alias("text")),
