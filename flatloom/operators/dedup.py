@@ -6,7 +6,7 @@ a third of all rows arrives as one row per input partition. None of them uses a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +19,17 @@ def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _order(order_by: Sequence[str | Column], attrs: Sequence[str]) -> Column:
-    """What decides the winner; the attributes come last, so that equal places still give one answer."""
-    return F.struct(*order_by, *attrs)
+def _extreme_row(
+    rows: DataFrame, pick: Callable[[Column], Column], key: list[str], attrs: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """The attributes of the smallest or largest row by ``order_by``, then by the attributes.
+
+    One struct holds the order and the attributes, so a single value per key is compared,
+    kept and shuffled.
+    """
+    fields = [*order_by, *[a for a in attrs if a not in order_by]]
+    winner = pick(F.struct(*fields)).alias("_row")
+    return rows.groupBy(*key).agg(winner).select(*key, *[F.col("_row")[a].alias(a) for a in attrs])
 
 
 def min_per_column(rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str]) -> DataFrame:
@@ -31,8 +39,7 @@ def min_per_column(rows: DataFrame, key: str | Sequence[str], attrs: Sequence[st
 
 def smallest_row(rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str]) -> DataFrame:
     """One whole row per key, always the same one: the smallest by its attributes."""
-    winner = F.min(F.struct(*attrs)).alias("_row")
-    return rows.groupBy(*_names(key)).agg(winner).select(*_names(key), "_row.*")
+    return _extreme_row(rows, F.min, _names(key), attrs, [])
 
 
 def any_row(rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str], deterministic: bool = True) -> DataFrame:
@@ -43,19 +50,17 @@ def any_row(rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str], det
 
 
 def last_write_wins(
-    rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str], order_by: Sequence[str | Column]
+    rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
     """The whole row written last; put the slice into ``key`` to collapse within slices only."""
-    winner = F.max_by(F.struct(*attrs), _order(order_by, attrs)).alias("_row")
-    return rows.groupBy(*_names(key)).agg(winner).select(*_names(key), "_row.*")
+    return _extreme_row(rows, F.max, _names(key), attrs, order_by)
 
 
 def first_row(
-    rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str], order_by: Sequence[str | Column]
+    rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
     """The whole row that comes first in the given order."""
-    winner = F.min_by(F.struct(*attrs), _order(order_by, attrs)).alias("_row")
-    return rows.groupBy(*_names(key)).agg(winner).select(*_names(key), "_row.*")
+    return _extreme_row(rows, F.min, _names(key), attrs, order_by)
 
 
 def first_slice_wins(
@@ -73,9 +78,9 @@ def first_slice_wins(
     """
     numeric = all(isinstance(rows.schema[c].dataType, NumericType) for c in order_by)
     if numeric:
-        place = F.struct(slice_column, *[(-F.col(c)).alias(c) for c in order_by])
-        winner = F.min_by(F.struct(*attrs), place).alias("_row")
-        return rows.groupBy(*_names(key)).agg(winner).select(*_names(key), "_row.*")
+        places = [f"_back{i}" for i in range(len(order_by))]
+        back = rows.withColumns({p: -F.col(c) for p, c in zip(places, order_by, strict=True)})
+        return first_row(back, key, attrs, [slice_column, *places])
     in_slice = last_write_wins(rows, [*_names(key), slice_column], attrs, order_by)
     return first_row(in_slice, key, attrs, [slice_column])
 
@@ -99,14 +104,14 @@ RULES = ("min", "smallest", "any", "last", "first")
 
 
 def dimension_table(
-    entries: DataFrame, dim: Dimension, rule: str = "min", order_by: Sequence[str | Column] = ()
+    entries: DataFrame, dim: Dimension, rule: str = "min", order_by: Sequence[str] = ()
 ) -> DataFrame:
     """A dimension of the model from wide entries, under the chosen rule."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}, not {rule!r}")
     columns = [F.col(dim.key)] + [F.col(src).alias(out) for out, src in dim.attributes.items() if out != dim.key]
     attrs = [out for out in dim.attributes if out != dim.key]
-    extra = [c for c in order_by if isinstance(c, str) and c not in {dim.key, *attrs}]
+    extra = [c for c in order_by if c not in {dim.key, *attrs}]
     rows = entries.select(*columns, *extra)
     if rule == "min":
         return min_per_column(rows, dim.key, attrs)

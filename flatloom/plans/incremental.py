@@ -9,16 +9,18 @@ minimum per batch and key, and collapsed over all batches when they are read.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from flatloom.operators.checks import mismatches
-from flatloom.operators.dedup import dimension_table, min_per_column
-from flatloom.operators.flatten import entry_rows, explode_parents, fact_rows, parent_rows
-from flatloom.plans.normalize import attribute_combinations
+from flatloom.operators.dedup import dimension_table, min_per_column, new_rows
+from flatloom.operators.flatten import entry_rows, fact_rows, parent_rows
+from flatloom.plans.normalize import attribute_combinations, parse_once
 from flatloom.schemas import DocumentModel
 from flatloom.scratch import written
 from flatloom.sources.documents import SOURCE
@@ -45,10 +47,16 @@ class Store:
             empty = self.spark.createDataFrame([], self._schema(table)).withColumn(BATCH, F.lit("none"))
             empty.write.mode("overwrite").partitionBy(BATCH).parquet(f"{self.root}/{table}")
 
-    def write(self, table: str, batch: str, df: DataFrame) -> None:
-        """Write, or write again, what one batch adds to a table."""
-        rows = df.select(*self._schema(table).fieldNames())
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/{BATCH}={batch}")
+    def write(self, batch: str, tables: dict[str, DataFrame]) -> None:
+        """Write, or write again, what one batch adds to the given tables."""
+
+        @inheritable_thread_target(self.spark)
+        def write(table: str) -> None:
+            rows = tables[table].select(*self._schema(table).fieldNames())
+            rows.write.mode("overwrite").parquet(f"{self.root}/{table}/{BATCH}={batch}")
+
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            list(pool.map(write, tables))
 
     def read(self, table: str) -> DataFrame:
         """All rows of finished batches, with the batch that brought them."""
@@ -89,20 +97,31 @@ def load_batch(docs: DataFrame, store: Store, batch: str) -> None:
     if not store.log().filter(F.col(BATCH) == batch).isEmpty():
         return
     model = store.model
-    parents = written(explode_parents(docs, model), "batch-parents")
+    parsed = parse_once(docs, model)
     # A file delivered twice within the batch counts once.
-    paths = parents.groupBy(delivery_unit(F.col(SOURCE)).alias("unit")).agg(F.min(SOURCE).alias(SOURCE))
-    fresh = written(paths.join(units_to_load(paths, store.log()), "unit", "left_semi"), "batch-units")
-    parents = parents.join(fresh.select(SOURCE), SOURCE, "left_semi")
-    entries = entry_rows(parents, model)
-    combinations = written(attribute_combinations(entries, model), "batch-combinations")
-    for dim in model.dimensions:
-        store.write(dim.table, batch, dimension_table(combinations, dim))
-    store.write(model.parent_table, batch, parent_rows(parents, model))
-    store.write(model.fact_table, batch, fact_rows(entries, model))
-    n = F.coalesce(F.size(model.entries), F.lit(0))
-    counts = parents.groupBy(SOURCE).agg(F.sum(F.greatest(n, F.lit(0))).cast("long").alias("n_entries"))
-    store.write(LOG, batch, fresh.join(counts, SOURCE, "left").fillna(0, ["n_entries"]))
+    size = F.greatest(F.coalesce(F.size(model.entries), F.lit(0)), F.lit(0))
+    files = (
+        parsed.rows([model.parent_key], [model.fact_key[-1]])
+        .groupBy(SOURCE)
+        .agg(F.sum(size).cast("long").alias("n_entries"))
+        .groupBy(delivery_unit(F.col(SOURCE)).alias("unit"))
+        .agg(F.min(F.struct(SOURCE, "n_entries")).alias("_file"))
+        .select("unit", "_file.*")
+    )
+    fresh = written(files.join(units_to_load(files, store.log()), "unit", "left_semi"), "batch-units")
+
+    def only_fresh(rows: DataFrame) -> DataFrame:
+        return rows.join(fresh.select(SOURCE), SOURCE, "left_semi")
+
+    wide = entry_rows(only_fresh(parsed.rows([model.parent_key], model.entry_columns)), model)
+    combinations = written(attribute_combinations(wide, model), "batch-combinations")
+    facts = entry_rows(only_fresh(parsed.rows([model.parent_key], model.fact_columns)), model)
+    rows = {dim.table: dimension_table(combinations, dim) for dim in model.dimensions}
+    rows[model.parent_table] = parent_rows(only_fresh(parsed.rows(model.parent_columns)), model)
+    rows[model.fact_table] = fact_rows(facts, model)
+    store.write(batch, rows)
+    # The log comes last: from here on the batch is visible.
+    store.write(batch, {LOG: fresh})
 
 
 def fact_count_mismatch(store: Store) -> DataFrame:
@@ -115,8 +134,6 @@ def fact_count_mismatch(store: Store) -> DataFrame:
 
 def insert_ignore(table_path: str, incoming: DataFrame, key: str) -> None:
     """Append one row per key that a stored table lacks; rows it has stay as they are."""
-    from flatloom.operators.dedup import new_rows
-
     spark = incoming.sparkSession
     known = spark.read.schema(incoming.schema).parquet(table_path)
     attrs = [c for c in incoming.columns if c != key]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flatloom.functions import slice_range_start
 from flatloom.operators.checks import key_violations, not_null_violations, orphan_keys, total_violations
-from flatloom.operators.dedup import RULES, dimension_table, first_slice_wins
+from flatloom.operators.dedup import dimension_table, first_slice_wins
 from flatloom.operators.flatten import (
     ENTRY_ORD,
     PARENT_ORD,
@@ -17,8 +21,8 @@ from flatloom.operators.flatten import (
     parent_rows,
 )
 from flatloom.schemas import DocumentModel
-from flatloom.scratch import written
-from flatloom.sinks.tables import append_by_name, read_tables, reset_tables, table_path
+from flatloom.scratch import write_new, written
+from flatloom.sinks.tables import read_tables, write_tables
 from flatloom.sources.documents import SOURCE
 
 SLICE = "slice_start"
@@ -38,24 +42,56 @@ def attribute_combinations(entries: DataFrame, model: DocumentModel) -> DataFram
     return entries.select(*_dimension_columns(model)).distinct()
 
 
-def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min", stage: bool = True) -> dict[str, DataFrame]:
-    """All target tables of the model, as DataFrames.
+@dataclass(frozen=True)
+class ParsedParents:
+    """Exploded parents, written once as nested Parquet so that text is parsed a single time.
+
+    Catalyst does not narrow a struct below an explode to several of its fields, so the
+    wanted fields are named when the table is read.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+    model: DocumentModel
+
+    def rows(self, parent_fields: Iterable[str], entry_fields: Iterable[str] | None = None) -> DataFrame:
+        """Parents with the named fields; ``entry_fields=None`` leaves the entries unread."""
+        narrow = self.model.pruned(parent_fields, entry_fields)[self.model.parents].dataType.elementType
+        extra = [f for f in self.schema if f.name not in self.model.parent_schema.fieldNames()]
+        return self.spark.read.schema(StructType([*extra, *narrow.fields])).parquet(self.path)
+
+    def entries(self, *entry_fields: str, ordinals: bool = False) -> DataFrame:
+        """Wide entries with the named fields."""
+        return entry_rows(self.rows([self.model.parent_key], entry_fields), self.model, ordinals)
+
+    def parents(self) -> DataFrame:
+        return parent_rows(self.rows(self.model.parent_columns), self.model)
+
+    def facts(self) -> DataFrame:
+        return fact_rows(self.entries(*self.model.fact_columns), self.model)
+
+
+def parse_once(docs: DataFrame, model: DocumentModel, ordinals: bool = False) -> ParsedParents:
+    """Explode and write the parents of all documents."""
+    parents = explode_parents(docs, model, ordinals)
+    return ParsedParents(docs.sparkSession, write_new(parents, "parents"), parents.schema, model)
+
+
+def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[str, DataFrame]:
+    """All target tables of the model, as DataFrames over the parsed parents.
 
-    With ``stage`` the parsed documents are written once as nested Parquet, so that text
-    is parsed a single time and every table reads only the columns it needs.
     ``rule`` is one of "min", "smallest", "any", or "first_slice" for what slices
     inserted one after the other leave behind.
     """
     if rule not in {"min", "smallest", "any", "first_slice"}:
         raise ValueError(f"unknown rule {rule!r}")
     in_order = rule == "first_slice"
-    parents = explode_parents(docs, model, ordinals=in_order)
-    if stage:
-        parents = written(parents, "parents")
-    entries = entry_rows(parents, model, ordinals=in_order)
-    tables = {model.parent_table: parent_rows(parents, model), model.fact_table: fact_rows(entries, model)}
+    parsed = parse_once(docs, model, ordinals=in_order)
+    tables = {model.parent_table: parsed.parents(), model.fact_table: parsed.facts()}
     if in_order:
-        dated = entries.withColumn(SLICE, slice_range_start(F.col(SOURCE)))
+        wide = parsed.entries(*_dimension_columns(model), ordinals=True)
+        dated = wide.withColumn(SLICE, slice_range_start(F.col(SOURCE)))
         for dim in model.dimensions:
             named = {out: src for out, src in dim.attributes.items() if out != dim.key}
             rows = dated.select(
@@ -63,22 +99,17 @@ def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min", stage: b
             )
             tables[dim.table] = first_slice_wins(rows, dim.key, list(named), SLICE, [PARENT_ORD, ENTRY_ORD])
     else:
-        assert rule in RULES
-        combinations = attribute_combinations(entries, model)
-        if stage:
-            combinations = written(combinations, "combinations")
+        wide = parsed.entries(*_dimension_columns(model))
+        combinations = written(attribute_combinations(wide, model), "combinations")
         for dim in model.dimensions:
             tables[dim.table] = dimension_table(combinations, dim, rule)
     return {t: tables[t].select(*model.table_schema(t).fieldNames()) for t in model.tables}
 
 
 def load(docs: DataFrame, model: DocumentModel, root: str, rule: str = "min") -> dict[str, DataFrame]:
-    """Reset the target, write all tables and return them as read back."""
-    spark = docs.sparkSession
-    reset_tables(spark, root, model)
-    for table, df in normalize(docs, model, rule).items():
-        append_by_name(df, table_path(root, table), model.table_schema(table))
-    return read_tables(spark, root, model)
+    """Replace all tables under ``root`` and return them as read back."""
+    write_tables(normalize(docs, model, rule), root, model)
+    return read_tables(docs.sparkSession, root, model)
 
 
 def constraint_report(tables: dict[str, DataFrame], model: DocumentModel) -> DataFrame:

@@ -12,7 +12,7 @@ from flatloom.operators.counts import (
     table_counts as count_tables,
 )
 from flatloom.operators.medians import median_by
-from flatloom.queries.nested import entries
+from flatloom.queries.nested import entries, entries_from_text
 from flatloom.queries.registry import WIDE, query
 from flatloom.scratch import new_path
 from flatloom.sinks.tables import write_for_lookup
@@ -31,7 +31,7 @@ def table_counts(spark, sf_dir):
     select count(*) entries, count(distinct track_key) tracks, count(distinct album_key) albums,
         count(distinct artist_key) artists from {WIDE}""")
 def expected_counts(spark, sf_dir):
-    wide = entries(spark, sf_dir, "track_key", "album_key", "artist_key")
+    wide = entries_from_text(spark, sf_dir, "track_key", "album_key", "artist_key")
     return count_expected(wide, {"tracks": "track_key", "albums": "album_key", "artists": "artist_key"})
 
 

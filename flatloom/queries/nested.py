@@ -15,39 +15,51 @@ from flatloom.operators.flatten import (
     parents_without_entries,
     wide_entries,
 )
+from flatloom.plans.normalize import ParsedParents, parse_once
 from flatloom.queries.registry import WIDE, query
 from flatloom.schemas import DocumentModel
 from flatloom.scratch import new_path
-from flatloom.sources.documents import documents_from_text, read_documents, read_whole_files, read_with_quarantine
+from flatloom.sources.documents import SOURCE, documents_from_text, read_documents, read_with_quarantine
 from flatloom.sources.star_schema import ORDERS, PART_ENTRIES, staged_documents, table
 
 
+_parsed: dict[tuple[str, str], ParsedParents] = {}
+
+
 def documents(spark: SparkSession, sf_dir: str, parent_fields=None, entry_fields=()) -> DataFrame:
     """The staged documents, converting only the named fields."""
     path = staged_documents(spark, sf_dir)
     return read_documents(spark, path, ORDERS, "lines", parent_fields, entry_fields)
 
 
-def entries(spark: SparkSession, sf_dir: str, *entry_fields: str) -> DataFrame:
-    """Wide entries of the staged documents, narrowed to the named fields if any are given."""
+def entries_from_text(spark: SparkSession, sf_dir: str, *entry_fields: str) -> DataFrame:
+    """Wide entries straight from the text, converting only the named fields if any are given."""
     if not entry_fields:
         return wide_entries(documents(spark, sf_dir), ORDERS)
     return wide_entries(documents(spark, sf_dir, ["pid"], entry_fields), ORDERS)
 
 
+def entries(spark: SparkSession, sf_dir: str, *entry_fields: str) -> DataFrame:
+    """Wide entries with the named fields, from the text as it was parsed once for all consumers."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _parsed:
+        _parsed[key] = parse_once(documents(spark, sf_dir), ORDERS)
+    return _parsed[key].entries(*entry_fields).drop(SOURCE)
+
+
 @query(f"select * from {WIDE}")
 def entries_wide(spark, sf_dir):
-    return entries(spark, sf_dir)
+    return entries_from_text(spark, sf_dir)
 
 
 @query(f"select pid, pos, track_key from {WIDE}")
 def fact_projection(spark, sf_dir):
-    return fact_rows(entries(spark, sf_dir, "pos", "track_key"), ORDERS)
+    return fact_rows(entries_from_text(spark, sf_dir, "pos", "track_key"), ORDERS)
 
 
 @query(f"select pid, pos, track_key, track_name from {WIDE}")
 def flatten_entries(spark, sf_dir):
-    return entries(spark, sf_dir, "pos", "track_key", "track_name")
+    return entries_from_text(spark, sf_dir, "pos", "track_key", "track_name")
 
 
 @query("select o_orderkey pid, o_orderpriority name from orders")

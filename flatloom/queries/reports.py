@@ -13,7 +13,6 @@ from flatloom.sources.star_schema import table
 
 # Fixed value: entries in the first 100 slices, by which the published rates are computed.
 ENTRIES = 6_677_800
-NEWEST_FIRST = [F.desc, F.desc]
 
 _LATEST = """(
     select * from (

@@ -38,7 +38,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage, fixes values that would differ if computed again, and
     gives Catalyst the true size of the result for its broadcast decision.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
+    return df.sparkSession.read.schema(df.schema).parquet(write_new(df, name))
+
+
+def write_new(df: DataFrame, name: str) -> str:
+    """Write ``df`` as Parquet to a path of its own and return the path."""
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path

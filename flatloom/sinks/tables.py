@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -26,6 +28,19 @@ def reset_tables(spark: SparkSession, root: str, model: DocumentModel) -> None:
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(table_path(root, table))
 
 
+def write_tables(tables: Mapping[str, DataFrame], root: str, model: DocumentModel) -> None:
+    """Replace all tables; the writes are submitted together, so that one fills the gaps of another."""
+    spark = next(iter(tables.values())).sparkSession
+
+    @inheritable_thread_target(spark)
+    def write(table: str) -> None:
+        columns = model.table_schema(table).fieldNames()
+        tables[table].select(*columns).write.mode("overwrite").parquet(table_path(root, table))
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        list(pool.map(write, tables))
+
+
 def read_tables(spark: SparkSession, root: str, model: DocumentModel) -> dict[str, DataFrame]:
     """The target tables under ``root``, with their declared schemas."""
     return {t: spark.read.schema(model.table_schema(t)).parquet(table_path(root, t)) for t in model.tables}

@@ -94,7 +94,8 @@ def documents_from_text(texts: DataFrame, model: DocumentModel, column: str = "v
 
 def read_whole_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row (value, source_file) per file, with its whole text."""
-    texts = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(paths)
+    reader = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
+    texts = reader.load(paths)
     return texts.withColumn(SOURCE, F.col("_metadata.file_path"))
 
 

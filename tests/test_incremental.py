@@ -1,0 +1,166 @@
+"""Batches, redelivery, lost batches and streams."""
+
+import shutil
+
+import pytest
+from documents import playlist, rows, three_slices, track, write_slice
+from pyspark.sql import functions as F
+
+from flatloom.operators.flatten import entry_rows, explode_parents, wide_entries
+from flatloom.plans.incremental import Store, fact_count_mismatch, insert_ignore, load_batch
+from flatloom.plans.normalize import load, normalize
+from flatloom.schemas import PLAYLISTS
+from flatloom.sinks.tables import append_by_name, read_tables, reset_tables, table_path, write_for_lookup
+from flatloom.sources.documents import read_documents, stream_documents
+from flatloom.sources.slices import slice_paths
+from flatloom.streaming.ingest import emit_new_keys, ingest
+
+
+def contents(tables):
+    return {t: rows(df) for t, df in tables.items()}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(three_slices(tmp_path / "in"))
+
+
+@pytest.fixture
+def one_shot(spark, folder):
+    return contents(normalize(read_documents(spark, folder, PLAYLISTS), PLAYLISTS))
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    made = Store(spark, str(tmp_path / "store"), PLAYLISTS)
+    made.create()
+    return made
+
+
+def test_loaded_tables_can_be_joined_back(spark, folder, tmp_path):
+    """Nothing is lost: the tables give the wide entries again."""
+    docs = read_documents(spark, folder, PLAYLISTS)
+    t = load(docs, PLAYLISTS, str(tmp_path / "out"))
+    tracks = t["tracks"].withColumnRenamed("name", "track_name")
+    albums = t["albums"].withColumnRenamed("name", "album_name")
+    artists = t["artists"].withColumnRenamed("name", "artist_name")
+    again = t["playlist_tracks"].join(tracks, "track_uri").join(albums, "album_uri").join(artists, "artist_uri")
+    wide = wide_entries(docs, PLAYLISTS)
+    assert rows(again, *wide.columns) == rows(wide)
+
+
+def test_loading_again_replaces(spark, folder, tmp_path, one_shot):
+    docs = read_documents(spark, folder, PLAYLISTS)
+    for _ in range(2):
+        assert contents(load(docs, PLAYLISTS, str(tmp_path / "out"))) == one_shot
+
+
+def test_reset_and_append_by_name(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    reset_tables(spark, root, PLAYLISTS)
+    assert all(df.isEmpty() for df in read_tables(spark, root, PLAYLISTS).values())
+    swapped = spark.createDataFrame([("n", "u")], "name string, artist_uri string")
+    append_by_name(swapped, table_path(root, "artists"), PLAYLISTS.table_schema("artists"))
+    append_by_name(swapped, table_path(root, "artists"), PLAYLISTS.table_schema("artists"))
+    assert rows(read_tables(spark, root, PLAYLISTS)["artists"]) == [("u", "n"), ("u", "n")]
+
+
+def test_chunks_equal_one_shot(spark, folder, store, one_shot):
+    for i, path in enumerate(slice_paths(spark, folder, 3)):
+        load_batch(read_documents(spark, [path], PLAYLISTS), store, f"b{i}")
+    assert contents(store.tables()) == one_shot
+    assert fact_count_mismatch(store).isEmpty()
+
+
+def test_redelivery_changes_nothing(spark, folder, store, one_shot, tmp_path):
+    paths = slice_paths(spark, folder, 3)
+    load_batch(read_documents(spark, paths[:2], PLAYLISTS), store, "b0")
+    # The same batch again, then an overlapping one, then a copy of a file in another folder.
+    load_batch(read_documents(spark, paths[:2], PLAYLISTS), store, "b0")
+    load_batch(read_documents(spark, paths[1:], PLAYLISTS), store, "b1")
+    other = tmp_path / "copy"
+    other.mkdir()
+    shutil.copy(paths[0].removeprefix("file:"), other)
+    load_batch(read_documents(spark, str(other), PLAYLISTS), store, "b2")
+    assert contents(store.tables()) == one_shot
+    assert rows(store.log(), "unit", "n_entries") == [
+        ("slice.0-999.json", 2),
+        ("slice.10000-10999.json", 3),
+        ("slice.2000-2999.json", 2),
+    ]
+
+
+def test_a_file_twice_in_one_batch_counts_once(spark, folder, store, one_shot, tmp_path):
+    other = tmp_path / "copy"
+    shutil.copytree(folder, other)
+    load_batch(read_documents(spark, [folder, str(other)], PLAYLISTS), store, "b0")
+    assert contents(store.tables()) == one_shot
+
+
+def test_a_batch_lost_before_its_log_line_stays_invisible(spark, folder, store, one_shot):
+    docs = read_documents(spark, folder, PLAYLISTS)
+    half = normalize(docs, PLAYLISTS)
+    store.write("b0", {"playlist_tracks": half["playlist_tracks"], "artists": half["artists"]})
+    assert all(df.isEmpty() for df in store.tables().values())
+    load_batch(docs, store, "b0")
+    assert contents(store.tables()) == one_shot
+
+
+def test_missing_facts_are_noticed(spark, folder, store):
+    load_batch(read_documents(spark, folder, PLAYLISTS), store, "b0")
+    one_fact = spark.createDataFrame([(0, 0, "tr:a")], "pid int, pos int, track_uri string")
+    store.write("b0", {"playlist_tracks": one_fact})
+    assert rows(fact_count_mismatch(store)) == [("playlist_tracks", 7, 1)]
+
+
+def test_insert_ignore_keeps_stored_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1)], "k string, v int").write.parquet(path)
+    insert_ignore(path, spark.createDataFrame([("a", 0), ("b", 5), ("b", 4)], "k string, v int"), "k")
+    insert_ignore(path, spark.createDataFrame([("b", 1), ("c", 1)], "k string, v int"), "k")
+    assert rows(spark.read.parquet(path)) == [("a", 1), ("b", 4), ("c", 1)]
+
+
+def test_stream_equals_batch_and_survives_replay(spark, folder, store, one_shot, tmp_path):
+    def run(checkpoint, name):
+        docs = stream_documents(spark, folder, PLAYLISTS, files_per_batch=1)
+        ingest(docs, store, str(tmp_path / checkpoint), name).awaitTermination()
+
+    run("c1", "run1")
+    assert store.log().select("batch").distinct().count() == 3
+    assert contents(store.tables()) == one_shot
+    run("c1", "run1")
+    run("c2", "run2")
+    assert contents(store.tables()) == one_shot
+    # A new file is picked up by the first checkpoint.
+    write_slice(tmp_path / "in", 20000, [playlist(20000, [track(0, "tr:new")])])
+    run("c1", "run1")
+    assert store.tables()["playlist_tracks"].count() == 8
+    assert fact_count_mismatch(store).isEmpty()
+
+
+def test_stream_of_new_keys(spark, folder, tmp_path):
+    out = str(tmp_path / "keys")
+
+    def run():
+        docs = stream_documents(spark, folder, PLAYLISTS, files_per_batch=1)
+        wide = entry_rows(explode_parents(docs, PLAYLISTS), PLAYLISTS).select("track_uri", "track_name")
+        emit_new_keys(wide, "track_uri", out, str(tmp_path / "state")).awaitTermination()
+        return rows(spark.read.schema(wide.schema).parquet(out), "track_uri")
+
+    assert run() == [("tr:a",), ("tr:b",), ("tr:c",)]
+    # The keys seen so far outlive the query.
+    write_slice(tmp_path / "in", 20000, [playlist(20000, [track(0, "tr:a"), track(1, "tr:d")])])
+    assert run() == [("tr:a",), ("tr:b",), ("tr:c",), ("tr:d",)]
+
+
+def test_lookup_layout_spreads_a_hot_key(spark, tmp_path):
+    facts = spark.range(4000).select(
+        F.col("id").cast("int").alias("pid"), F.lit(0).alias("pos"), F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise(F.concat(F.lit("t"), F.col("id"))).alias("track_uri")
+    )
+    path = str(tmp_path / "facts")
+    write_for_lookup(facts.repartition(4), path, "track_uri", "pid", "pos")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 4000
+    assert rows(stored.filter("track_uri = 't7'"), "pid") == [(7,)]
