@@ -16,9 +16,14 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def expected_counts(entries: DataFrame, distinct: Mapping[str, str], total: str = "entries") -> DataFrame:
-    """One row: all entries, and the distinct values of the named columns, in one pass."""
+    """One row: all entries, and the distinct values of the named columns, in one pass.
+
+    Counting several distinct columns multiplies the rows by their number, so equal
+    combinations are collapsed and counted first.
+    """
+    combinations = entries.groupBy(*distinct.values()).agg(F.count("*").alias("_n"))
     columns = [F.count_distinct(F.col(column)).alias(name) for name, column in distinct.items()]
-    return entries.agg(F.count("*").alias(total), *columns)
+    return combinations.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(total), *columns)
 
 
 def duplication(entries: DataFrame, key: str) -> DataFrame:

@@ -32,8 +32,16 @@ def _extreme_row(
     return rows.groupBy(*key).agg(winner).select(*key, *[F.col("_row")[a].alias(a) for a in attrs])
 
 
-def min_per_column(rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str]) -> DataFrame:
-    """The smallest value of each attribute; the values may come from different rows."""
+def min_per_column(
+    rows: DataFrame, key: str | Sequence[str], attrs: Sequence[str], distinct_first: bool = False
+) -> DataFrame:
+    """The smallest value of each attribute; the values may come from different rows.
+
+    Minima of text are found by sorting. ``distinct_first`` lets a hash aggregate remove
+    the copies before that: better for dimensions, whose rows repeat many times over.
+    """
+    if distinct_first:
+        rows = rows.select(*_names(key), *attrs).distinct()
     return rows.groupBy(*_names(key)).agg(*[F.min(a).alias(a) for a in attrs])
 
 
@@ -104,9 +112,16 @@ RULES = ("min", "smallest", "any", "last", "first")
 
 
 def dimension_table(
-    entries: DataFrame, dim: Dimension, rule: str = "min", order_by: Sequence[str] = ()
+    entries: DataFrame,
+    dim: Dimension,
+    rule: str = "min",
+    order_by: Sequence[str] = (),
+    distinct_first: bool = True,
 ) -> DataFrame:
-    """A dimension of the model from wide entries, under the chosen rule."""
+    """A dimension of the model from wide entries, under the chosen rule.
+
+    Pass ``distinct_first=False`` for rows that are nearly distinct already.
+    """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}, not {rule!r}")
     columns = [F.col(dim.key)] + [F.col(src).alias(out) for out, src in dim.attributes.items() if out != dim.key]
@@ -114,7 +129,7 @@ def dimension_table(
     extra = [c for c in order_by if c not in {dim.key, *attrs}]
     rows = entries.select(*columns, *extra)
     if rule == "min":
-        return min_per_column(rows, dim.key, attrs)
+        return min_per_column(rows, dim.key, attrs, distinct_first)
     if rule == "smallest":
         return smallest_row(rows, dim.key, attrs)
     if rule == "any":

@@ -116,7 +116,7 @@ def load_batch(docs: DataFrame, store: Store, batch: str) -> None:
     wide = entry_rows(only_fresh(parsed.rows([model.parent_key], model.entry_columns)), model)
     combinations = written(attribute_combinations(wide, model), "batch-combinations")
     facts = entry_rows(only_fresh(parsed.rows([model.parent_key], model.fact_columns)), model)
-    rows = {dim.table: dimension_table(combinations, dim) for dim in model.dimensions}
+    rows = {dim.table: dimension_table(combinations, dim, distinct_first=False) for dim in model.dimensions}
     rows[model.parent_table] = parent_rows(only_fresh(parsed.rows(model.parent_columns)), model)
     rows[model.fact_table] = fact_rows(facts, model)
     store.write(batch, rows)

@@ -102,7 +102,7 @@ def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[
         wide = parsed.entries(*_dimension_columns(model))
         combinations = written(attribute_combinations(wide, model), "combinations")
         for dim in model.dimensions:
-            tables[dim.table] = dimension_table(combinations, dim, rule)
+            tables[dim.table] = dimension_table(combinations, dim, rule, distinct_first=False)
     return {t: tables[t].select(*model.table_schema(t).fieldNames()) for t in model.tables}
 
 
