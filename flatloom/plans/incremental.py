@@ -22,7 +22,8 @@ from flatloom.operators.dedup import dimension_table, min_per_column, new_rows
 from flatloom.operators.flatten import entry_rows, fact_rows, parent_rows
 from flatloom.plans.normalize import attribute_combinations, parse_once
 from flatloom.schemas import DocumentModel
-from flatloom.scratch import written
+from flatloom.scratch import truncate, write_new, written
+from flatloom.sinks.tables import read_tables, write_tables
 from flatloom.sources.documents import SOURCE
 
 LOG = "load_log"
@@ -114,7 +115,9 @@ def load_batch(docs: DataFrame, store: Store, batch: str) -> None:
         return rows.join(fresh.select(SOURCE), SOURCE, "left_semi")
 
     wide = entry_rows(only_fresh(parsed.rows([model.parent_key], model.entry_columns)), model)
-    combinations = written(attribute_combinations(wide, model), "batch-combinations")
+    distinct = attribute_combinations(wide, model)
+    stage = write_new(distinct, "batch-combinations")
+    combinations = store.spark.read.schema(distinct.schema).parquet(stage)
     facts = entry_rows(only_fresh(parsed.rows([model.parent_key], model.fact_columns)), model)
     rows = {dim.table: dimension_table(combinations, dim, distinct_first=False) for dim in model.dimensions}
     rows[model.parent_table] = parent_rows(only_fresh(parsed.rows(model.parent_columns)), model)
@@ -122,6 +125,15 @@ def load_batch(docs: DataFrame, store: Store, batch: str) -> None:
     store.write(batch, rows)
     # The log comes last: from here on the batch is visible.
     store.write(batch, {LOG: fresh})
+    # What the batch needed on the way does not outlive it.
+    for path in (parsed.path, stage):
+        truncate(store.spark, path)
+
+
+def finalize(store: Store, root: str) -> dict[str, DataFrame]:
+    """Write the target tables, with the partial dimensions of all batches collapsed."""
+    write_tables(store.tables(), root, store.model)
+    return read_tables(store.spark, root, store.model)
 
 
 def fact_count_mismatch(store: Store) -> DataFrame:

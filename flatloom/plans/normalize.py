@@ -21,11 +21,12 @@ from flatloom.operators.flatten import (
     parent_rows,
 )
 from flatloom.schemas import DocumentModel
-from flatloom.scratch import write_new, written
+from flatloom.scratch import truncate, write_new, written
 from flatloom.sinks.tables import read_tables, write_tables
 from flatloom.sources.documents import SOURCE
 
 SLICE = "slice_start"
+LOAD_RULES = ("min", "smallest", "any", "first_slice")
 
 
 def _dimension_columns(model: DocumentModel) -> list[str]:
@@ -78,18 +79,11 @@ def parse_once(docs: DataFrame, model: DocumentModel, ordinals: bool = False) ->
     return ParsedParents(docs.sparkSession, write_new(parents, "parents"), parents.schema, model)
 
 
-def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[str, DataFrame]:
-    """All target tables of the model, as DataFrames over the parsed parents.
-
-    ``rule`` is one of "min", "smallest", "any", or "first_slice" for what slices
-    inserted one after the other leave behind.
-    """
-    if rule not in {"min", "smallest", "any", "first_slice"}:
-        raise ValueError(f"unknown rule {rule!r}")
-    in_order = rule == "first_slice"
-    parsed = parse_once(docs, model, ordinals=in_order)
+def tables_of(parsed: ParsedParents, rule: str = "min", combinations: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All target tables from parsed parents. ``combinations`` can be given if already written."""
+    model = parsed.model
     tables = {model.parent_table: parsed.parents(), model.fact_table: parsed.facts()}
-    if in_order:
+    if rule == "first_slice":
         wide = parsed.entries(*_dimension_columns(model), ordinals=True)
         dated = wide.withColumn(SLICE, slice_range_start(F.col(SOURCE)))
         for dim in model.dimensions:
@@ -99,17 +93,51 @@ def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[
             )
             tables[dim.table] = first_slice_wins(rows, dim.key, list(named), SLICE, [PARENT_ORD, ENTRY_ORD])
     else:
-        wide = parsed.entries(*_dimension_columns(model))
-        combinations = written(attribute_combinations(wide, model), "combinations")
+        if combinations is None:
+            combinations = attribute_combinations(parsed.entries(*_dimension_columns(model)), model)
         for dim in model.dimensions:
             tables[dim.table] = dimension_table(combinations, dim, rule, distinct_first=False)
     return {t: tables[t].select(*model.table_schema(t).fieldNames()) for t in model.tables}
 
 
+def _check_rule(rule: str) -> None:
+    if rule not in LOAD_RULES:
+        raise ValueError(f"rule must be one of {LOAD_RULES}, not {rule!r}")
+
+
+def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[str, DataFrame]:
+    """All target tables of the model, as DataFrames over the parsed parents.
+
+    ``rule`` is one of "min", "smallest", "any", or "first_slice" for what slices
+    inserted one after the other leave behind.
+    """
+    _check_rule(rule)
+    parsed = parse_once(docs, model, ordinals=rule == "first_slice")
+    if rule == "first_slice":
+        return tables_of(parsed, rule)
+    wide = parsed.entries(*_dimension_columns(model))
+    return tables_of(parsed, rule, written(attribute_combinations(wide, model), "combinations"))
+
+
 def load(docs: DataFrame, model: DocumentModel, root: str, rule: str = "min") -> dict[str, DataFrame]:
-    """Replace all tables under ``root`` and return them as read back."""
-    write_tables(normalize(docs, model, rule), root, model)
-    return read_tables(docs.sparkSession, root, model)
+    """Replace all tables under ``root`` and return them as read back.
+
+    The intermediate tables are emptied once the target is written.
+    """
+    _check_rule(rule)
+    spark = docs.sparkSession
+    parsed = parse_once(docs, model, ordinals=rule == "first_slice")
+    stages = [parsed.path]
+    combinations = None
+    if rule != "first_slice":
+        wide = parsed.entries(*_dimension_columns(model))
+        rows = attribute_combinations(wide, model)
+        stages.append(write_new(rows, "combinations"))
+        combinations = spark.read.schema(rows.schema).parquet(stages[-1])
+    write_tables(tables_of(parsed, rule, combinations), root, model)
+    for path in stages:
+        truncate(spark, path)
+    return read_tables(spark, root, model)
 
 
 def constraint_report(tables: dict[str, DataFrame], model: DocumentModel) -> DataFrame:

@@ -13,6 +13,7 @@ from flatloom.operators.flatten import wide_entries
 from flatloom.operators.numbering import chunk_numbers
 from flatloom.plans.incremental import Store, insert_ignore, load_batch, units_to_load
 from flatloom.plans.normalize import load, normalize
+from flatloom.plans.run import expected_table_counts, load_by_stream, timed_run
 from flatloom.queries.nested import documents
 from flatloom.queries.registry import WIDE, query
 from flatloom.scratch import new_path, written
@@ -138,3 +139,31 @@ def stream_new_keys(spark, sf_dir):
     out = new_path(spark, "new-keys")
     emit_new_keys(rows, "track_key", out, new_path(spark, "stream-state")).awaitTermination()
     return spark.read.schema(rows.schema).parquet(out)
+
+
+@query(f"""
+    with n as ({_TABLE_COUNTS})
+    select loader, 'OK' status, 1 rep,
+        max(n) filter (tbl = 'artists') artists, max(n) filter (tbl = 'albums') albums,
+        max(n) filter (tbl = 'tracks') tracks, max(n) filter (tbl = 'playlists') playlists,
+        max(n) filter (tbl = 'playlist_tracks') playlist_tracks
+    from n cross join (values ('batch'), ('stream')) w(loader) group by loader""")
+def run_records(spark, sf_dir):
+    """Two whole runs, by batch and by stream: load, constraints, counts, record."""
+
+    def docs(parent_fields=None, entry_fields=()):
+        return documents(spark, sf_dir, parent_fields, entry_fields)
+
+    def by_batch():
+        return load(docs(), ORDERS, new_path(spark, "tables"))
+
+    def by_stream():
+        files = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch=3)
+        return load_by_stream(files, ORDERS, new_path(spark, "tables"), "run", new_path(spark, "stream-state"))
+
+    expected = written(expected_table_counts(docs, ORDERS), "expected")
+    runs = [
+        timed_run(spark, name, ORDERS, expected, way) for name, way in (("batch", by_batch), ("stream", by_stream))
+    ]
+    counts = ["artists", "albums", "tracks", "playlists", "playlist_tracks"]
+    return runs[0].unionByName(runs[1]).select("loader", "status", "rep", *counts)

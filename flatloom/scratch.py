@@ -46,3 +46,9 @@ def write_new(df: DataFrame, name: str) -> str:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return path
+
+
+def truncate(spark: SparkSession, path: str) -> None:
+    """Empty a written table that is no longer needed, so that scratch space stays bounded."""
+    rows = spark.read.parquet(path)
+    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(path)
