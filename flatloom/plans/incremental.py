@@ -9,10 +9,9 @@ minimum per batch and key, and collapsed over all batches when they are read.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -22,8 +21,8 @@ from flatloom.operators.dedup import dimension_table, min_per_column, new_rows
 from flatloom.operators.flatten import entry_rows, fact_rows, parent_rows
 from flatloom.plans.normalize import attribute_combinations, parse_once
 from flatloom.schemas import DocumentModel
-from flatloom.scratch import truncate, write_new, written
-from flatloom.sinks.tables import read_tables, write_tables
+from flatloom.scratch import empty, new_path, truncate, written
+from flatloom.sinks.tables import read_tables, together, write_tables
 from flatloom.sources.documents import SOURCE
 
 LOG = "load_log"
@@ -45,19 +44,18 @@ class Store:
     def create(self) -> None:
         """Empty tables and an empty log; anything that was there is replaced."""
         for table in [*self.model.tables, LOG]:
-            empty = self.spark.createDataFrame([], self._schema(table)).withColumn(BATCH, F.lit("none"))
-            empty.write.mode("overwrite").partitionBy(BATCH).parquet(f"{self.root}/{table}")
+            rows = empty(self.spark, self._schema(table)).withColumn(BATCH, F.lit("none"))
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.partitionBy(BATCH).parquet(f"{self.root}/{table}")
 
     def write(self, batch: str, tables: dict[str, DataFrame]) -> None:
         """Write, or write again, what one batch adds to the given tables."""
 
-        @inheritable_thread_target(self.spark)
         def write(table: str) -> None:
             rows = tables[table].select(*self._schema(table).fieldNames())
             rows.write.mode("overwrite").parquet(f"{self.root}/{table}/{BATCH}={batch}")
 
-        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            list(pool.map(write, tables))
+        together(self.spark, *[partial(write, table) for table in tables])
 
     def read(self, table: str) -> DataFrame:
         """All rows of finished batches, with the batch that brought them."""
@@ -114,20 +112,26 @@ def load_batch(docs: DataFrame, store: Store, batch: str) -> None:
     def only_fresh(rows: DataFrame) -> DataFrame:
         return rows.join(fresh.select(SOURCE), SOURCE, "left_semi")
 
+    facts = entry_rows(only_fresh(parsed.rows([model.parent_key], model.fact_columns)), model)
     wide = entry_rows(only_fresh(parsed.rows([model.parent_key], model.entry_columns)), model)
     distinct = attribute_combinations(wide, model)
-    stage = write_new(distinct, "batch-combinations")
-    combinations = store.spark.read.schema(distinct.schema).parquet(stage)
-    facts = entry_rows(only_fresh(parsed.rows([model.parent_key], model.fact_columns)), model)
-    rows = {dim.table: dimension_table(combinations, dim, distinct_first=False) for dim in model.dimensions}
-    rows[model.parent_table] = parent_rows(only_fresh(parsed.rows(model.parent_columns)), model)
-    rows[model.fact_table] = fact_rows(facts, model)
-    store.write(batch, rows)
+    stage = new_path(store.spark, "batch-combinations")
+
+    def write_dimensions() -> None:
+        distinct.write.parquet(stage)
+        combinations = store.spark.read.schema(distinct.schema).parquet(stage)
+        dims = model.dimensions
+        store.write(batch, {d.table: dimension_table(combinations, d, distinct_first=False) for d in dims})
+
+    def write_others() -> None:
+        parents = parent_rows(only_fresh(parsed.rows(model.parent_columns)), model)
+        store.write(batch, {model.parent_table: parents, model.fact_table: fact_rows(facts, model)})
+
+    together(store.spark, write_dimensions, write_others)
     # The log comes last: from here on the batch is visible.
     store.write(batch, {LOG: fresh})
     # What the batch needed on the way does not outlive it.
-    for path in (parsed.path, stage):
-        truncate(store.spark, path)
+    truncate(store.spark, parsed.path, stage)
 
 
 def finalize(store: Store, root: str) -> dict[str, DataFrame]:

@@ -20,9 +20,9 @@ from flatloom.operators.flatten import (
     fact_rows,
     parent_rows,
 )
-from flatloom.schemas import DocumentModel
-from flatloom.scratch import truncate, write_new, written
-from flatloom.sinks.tables import read_tables, write_tables
+from flatloom.schemas import Dimension, DocumentModel
+from flatloom.scratch import new_path, truncate, write_new
+from flatloom.sinks.tables import read_tables, together, write_tables
 from flatloom.sources.documents import SOURCE
 
 SLICE = "slice_start"
@@ -79,30 +79,33 @@ def parse_once(docs: DataFrame, model: DocumentModel, ordinals: bool = False) ->
     return ParsedParents(docs.sparkSession, write_new(parents, "parents"), parents.schema, model)
 
 
-def tables_of(parsed: ParsedParents, rule: str = "min", combinations: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All target tables from parsed parents. ``combinations`` can be given if already written."""
+def _check_rule(rule: str) -> None:
+    if rule not in LOAD_RULES:
+        raise ValueError(f"rule must be one of {LOAD_RULES}, not {rule!r}")
+
+
+def _parent_and_fact_tables(parsed: ParsedParents) -> dict[str, DataFrame]:
+    return {parsed.model.parent_table: parsed.parents(), parsed.model.fact_table: parsed.facts()}
+
+
+def _dimension_tables(parsed: ParsedParents, rule: str, stage: str) -> dict[str, DataFrame]:
+    """The dimensions under a rule; ``stage`` is where their common distinct rows are written."""
     model = parsed.model
-    tables = {model.parent_table: parsed.parents(), model.fact_table: parsed.facts()}
     if rule == "first_slice":
         wide = parsed.entries(*_dimension_columns(model), ordinals=True)
         dated = wide.withColumn(SLICE, slice_range_start(F.col(SOURCE)))
-        for dim in model.dimensions:
-            named = {out: src for out, src in dim.attributes.items() if out != dim.key}
-            rows = dated.select(
-                dim.key, *[F.col(src).alias(out) for out, src in named.items()], SLICE, PARENT_ORD, ENTRY_ORD
-            )
-            tables[dim.table] = first_slice_wins(rows, dim.key, list(named), SLICE, [PARENT_ORD, ENTRY_ORD])
-    else:
-        if combinations is None:
-            combinations = attribute_combinations(parsed.entries(*_dimension_columns(model)), model)
-        for dim in model.dimensions:
-            tables[dim.table] = dimension_table(combinations, dim, rule, distinct_first=False)
-    return {t: tables[t].select(*model.table_schema(t).fieldNames()) for t in model.tables}
+        return {d.table: _first_slice_dimension(dated, d) for d in model.dimensions}
+    distinct = attribute_combinations(parsed.entries(*_dimension_columns(model)), model)
+    distinct.write.parquet(stage)
+    rows = parsed.spark.read.schema(distinct.schema).parquet(stage)
+    return {d.table: dimension_table(rows, d, rule, distinct_first=False) for d in model.dimensions}
 
 
-def _check_rule(rule: str) -> None:
-    if rule not in LOAD_RULES:
-        raise ValueError(f"rule must be one of {LOAD_RULES}, not {rule!r}")
+def _first_slice_dimension(dated: DataFrame, dim: Dimension) -> DataFrame:
+    named = {out: src for out, src in dim.attributes.items() if out != dim.key}
+    attrs = [F.col(src).alias(out) for out, src in named.items()]
+    rows = dated.select(dim.key, *attrs, SLICE, PARENT_ORD, ENTRY_ORD)
+    return first_slice_wins(rows, dim.key, list(named), SLICE, [PARENT_ORD, ENTRY_ORD])
 
 
 def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[str, DataFrame]:
@@ -113,10 +116,9 @@ def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[
     """
     _check_rule(rule)
     parsed = parse_once(docs, model, ordinals=rule == "first_slice")
-    if rule == "first_slice":
-        return tables_of(parsed, rule)
-    wide = parsed.entries(*_dimension_columns(model))
-    return tables_of(parsed, rule, written(attribute_combinations(wide, model), "combinations"))
+    stage = new_path(docs.sparkSession, "combinations")
+    tables = _parent_and_fact_tables(parsed) | _dimension_tables(parsed, rule, stage)
+    return {t: tables[t].select(*model.table_schema(t).fieldNames()) for t in model.tables}
 
 
 def load(docs: DataFrame, model: DocumentModel, root: str, rule: str = "min") -> dict[str, DataFrame]:
@@ -127,16 +129,13 @@ def load(docs: DataFrame, model: DocumentModel, root: str, rule: str = "min") ->
     _check_rule(rule)
     spark = docs.sparkSession
     parsed = parse_once(docs, model, ordinals=rule == "first_slice")
-    stages = [parsed.path]
-    combinations = None
-    if rule != "first_slice":
-        wide = parsed.entries(*_dimension_columns(model))
-        rows = attribute_combinations(wide, model)
-        stages.append(write_new(rows, "combinations"))
-        combinations = spark.read.schema(rows.schema).parquet(stages[-1])
-    write_tables(tables_of(parsed, rule, combinations), root, model)
-    for path in stages:
-        truncate(spark, path)
+    stage = new_path(spark, "combinations")
+    together(
+        spark,
+        lambda: write_tables(_parent_and_fact_tables(parsed), root, model),
+        lambda: write_tables(_dimension_tables(parsed, rule, stage), root, model),
+    )
+    truncate(spark, parsed.path, stage)
     return read_tables(spark, root, model)
 
 

@@ -60,7 +60,7 @@ def _record(spark: SparkSession, values: dict) -> DataFrame:
     blank = {f.name: 0 for f in RUN_RESULT}
     blank |= {f.name: 0.0 for f in RUN_RESULT if f.dataType.typeName() == "double"}
     row = blank | {"run_at": datetime.now(UTC).isoformat(timespec="seconds")} | values
-    return spark.createDataFrame([tuple(row[f.name] for f in RUN_RESULT)], RUN_RESULT)
+    return spark.createDataFrame([tuple(row[f.name] for f in RUN_RESULT)], RUN_RESULT).coalesce(1)
 
 
 def timed_run(

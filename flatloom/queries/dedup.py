@@ -102,12 +102,12 @@ def distinct_on_first_row(spark, sf_dir):
 
 @query("""
     select distinct l_partkey from lineitem a
-    where l_orderkey // 1000 >= 10 and not exists (
+    where l_orderkey // 1000 >= 1 and not exists (
         select 1 from lineitem b where b.l_orderkey // 1000 < 1 and b.l_partkey = a.l_partkey)""")
 def new_keys_only(spark, sf_dir):
-    """Parts of the slices from 10 on that the first slice did not bring."""
+    """Parts that the first slice did not bring and a later one does."""
     lines = _sliced_lines(spark, sf_dir).select("sl", "l_partkey")
-    return new_keys(lines.filter("sl >= 10"), lines.filter("sl < 1"), "l_partkey")
+    return new_keys(lines.filter("sl >= 1"), lines.filter("sl < 1"), "l_partkey")
 
 
 @query(f"select distinct track_key, track_name, album_key from {WIDE}")

@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flatloom.operators.checks import require_empty
 from flatloom.operators.counts import table_counts
 from flatloom.operators.dedup import min_per_column
 from flatloom.operators.flatten import wide_entries
 from flatloom.operators.numbering import chunk_numbers
-from flatloom.plans.incremental import Store, insert_ignore, load_batch, units_to_load
+from flatloom.plans.incremental import Store, fact_count_mismatch, insert_ignore, load_batch, units_to_load
 from flatloom.plans.normalize import load, normalize
 from flatloom.plans.run import expected_table_counts, load_by_stream, timed_run
 from flatloom.queries.nested import documents
@@ -90,6 +91,21 @@ def reload_changes_nothing(spark, sf_dir):
     return table_counts(store.tables())
 
 
+@query("""
+    select 'reported' source, count(*) n from lineitem
+    union all select 'stored', count(*) from lineitem""")
+def reported_entries(spark, sf_dir):
+    """The entries that the batches reported, and those that the fact table holds."""
+    store = Store(spark, new_path(spark, "store"), ORDERS)
+    store.create()
+    load_batch(documents(spark, sf_dir), store, "only-0")
+    require_empty(fact_count_mismatch(store), "fact table")
+    reported = store.log().agg(F.sum("n_entries").alias("n"))
+    stored = store.read(ORDERS.fact_table).agg(F.count("*").alias("n"))
+    named = [df.select(F.lit(name).alias("source"), "n") for name, df in (("reported", reported), ("stored", stored))]
+    return named[0].unionByName(named[1])
+
+
 @query("""
     select l_partkey, suppkey, flag from (
         select *, row_number() over (partition by l_partkey order by late, suppkey, flag) rn

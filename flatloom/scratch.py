@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _local_roots: dict[str, str] = {}
 
@@ -48,7 +50,12 @@ def write_new(df: DataFrame, name: str) -> str:
     return path
 
 
-def truncate(spark: SparkSession, path: str) -> None:
-    """Empty a written table that is no longer needed, so that scratch space stays bounded."""
-    rows = spark.read.parquet(path)
-    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(path)
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, in one partition, made without Python workers."""
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def truncate(spark: SparkSession, *paths: str) -> None:
+    """Empty written tables that are no longer needed, so that scratch space stays bounded."""
+    for path in paths:
+        spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from flatloom.schemas import RUN_RESULT, DocumentModel
+from flatloom.scratch import empty
 
 
 def table_path(root: str, table: str) -> str:
@@ -24,21 +26,30 @@ def append_by_name(df: DataFrame, path: str, schema: StructType) -> None:
 def reset_tables(spark: SparkSession, root: str, model: DocumentModel) -> None:
     """Replace every target table by an empty one with its declared columns."""
     for table in model.tables:
-        schema = model.table_schema(table)
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(table_path(root, table))
+        rows = empty(spark, model.table_schema(table))
+        rows.write.mode("overwrite").parquet(table_path(root, table))
+
+
+def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Submit independent jobs at the same time, so that one fills the gaps of another."""
+
+    @inheritable_thread_target(spark)
+    def run(job: Callable[[], None]) -> None:
+        job()
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        list(pool.map(run, jobs))
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, model: DocumentModel) -> None:
-    """Replace all tables; the writes are submitted together, so that one fills the gaps of another."""
+    """Replace the given tables."""
     spark = next(iter(tables.values())).sparkSession
 
-    @inheritable_thread_target(spark)
     def write(table: str) -> None:
         columns = model.table_schema(table).fieldNames()
         tables[table].select(*columns).write.mode("overwrite").parquet(table_path(root, table))
 
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        list(pool.map(write, tables))
+    together(spark, *[partial(write, table) for table in tables])
 
 
 def read_tables(spark: SparkSession, root: str, model: DocumentModel) -> dict[str, DataFrame]:

@@ -155,12 +155,19 @@ def test_stream_of_new_keys(spark, folder, tmp_path):
 
 
 def test_lookup_layout_spreads_a_hot_key(spark, tmp_path):
-    facts = spark.range(4000).select(
-        F.col("id").cast("int").alias("pid"), F.lit(0).alias("pos"), F.when(F.col("id") % 3 == 0, "hot")
-        .otherwise(F.concat(F.lit("t"), F.col("id"))).alias("track_uri")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id")))
+    facts = spark.range(6000).select(
+        F.col("id").cast("int").alias("pid"), F.lit(0).alias("pos"), key.alias("track_uri")
     )
     path = str(tmp_path / "facts")
-    write_for_lookup(facts.repartition(4), path, "track_uri", "pid", "pos")
-    stored = spark.read.parquet(path)
-    assert stored.count() == 4000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_for_lookup(facts, path, "track_uri", "pid", "pos")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    assert stored.count() == 6000
     assert rows(stored.filter("track_uri = 't7'"), "pid") == [(7,)]
+    per_file = [r["count"] for r in stored.filter("track_uri = 'hot'").groupBy("file").count().collect()]
+    assert sum(per_file) == 2000
+    assert len(per_file) > 1

@@ -24,7 +24,11 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+# These run whole jobs and return counts of stored tables.
+JOBS = {"load_tables", "reload_changes_nothing", "reported_entries", "run_records", "stream_equals_batch", "stream_new_keys"}
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - JOBS))
 def test_no_cross_joins_and_no_python_workers(spark, sf_dir, name):
     plan = plan_of(contract.queries()[name](spark, sf_dir))
     assert not re.search("Cartesian|NestedLoop|EvalPython|MapInPandas|FlatMapGroups", plan)
