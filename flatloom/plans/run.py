@@ -105,6 +105,7 @@ def run_folder(
     limit: int | None = None,
     layout: str = "file",
     rep: int = 1,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Load a folder of slice files into ``target`` and return the record of the run.
 
@@ -124,7 +125,7 @@ def run_folder(
         return load(docs(), model, target, rule)
 
     def by_stream():
-        files = stream_documents(spark, source, model, layout, FILES_PER_BATCH)
+        files = stream_documents(spark, source, model, layout, files_per_batch)
         return load_by_stream(files, model, target, "run", new_path(spark, "stream-state"))
 
     try:

@@ -31,6 +31,11 @@ _TABLE_COUNTS = f"""
     union all select 'playlist_tracks', count(*) from e"""
 
 
+def files_per_batch(spark) -> int:
+    """Half as many files as there are cores: several batches locally, few large ones on a cluster."""
+    return max(1, spark.sparkContext.defaultParallelism // 2)
+
+
 def _lines(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", F.col("l_suppkey").alias("suppkey"), F.col("l_returnflag").alias("flag")
@@ -140,7 +145,7 @@ def stream_equals_batch(spark, sf_dir):
     """All documents through a file stream, a few files per batch, against one batch job."""
     store = Store(spark, new_path(spark, "store"), ORDERS)
     store.create()
-    docs = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch=3)
+    docs = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch(spark))
     ingest(docs, store, new_path(spark, "stream-state"), "run").awaitTermination()
     streamed = _digest(store.tables())
     batch = _digest(normalize(documents(spark, sf_dir), ORDERS)).select("tbl", F.col("digest").alias("expected"))
@@ -150,7 +155,7 @@ def stream_equals_batch(spark, sf_dir):
 @query(f"select distinct track_key, track_name from {WIDE}")
 def stream_new_keys(spark, sf_dir):
     """Each track when it is first seen in the stream."""
-    docs = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch=3)
+    docs = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch(spark))
     rows = wide_entries(docs, ORDERS).select("track_key", "track_name")
     out = new_path(spark, "new-keys")
     emit_new_keys(rows, "track_key", out, new_path(spark, "stream-state")).awaitTermination()
@@ -174,7 +179,7 @@ def run_records(spark, sf_dir):
         return load(docs(), ORDERS, new_path(spark, "tables"))
 
     def by_stream():
-        files = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch=3)
+        files = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch(spark))
         return load_by_stream(files, ORDERS, new_path(spark, "tables"), "run", new_path(spark, "stream-state"))
 
     expected = written(expected_table_counts(docs, ORDERS), "expected")

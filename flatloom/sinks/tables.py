@@ -67,12 +67,21 @@ def write_for_lookup(facts: DataFrame, path: str, entry_key: str, *tie: str) ->
 
 
 def append_over_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str]) -> None:
-    """Append to a database table with batched inserts; the caller brings driver and URL."""
+    """Append to a database table with batched inserts; the caller brings driver and URL.
+
+    ``numPartitions`` among the properties bounds the number of connections.
+    """
     # Batch size and rewriting of batched inserts.
     options = {"batchsize": "10000", "reWriteBatchedInserts": "true"} | dict(properties)
     df.write.mode("append").jdbc(url, table, properties=options)
 
 
+def publish_over_jdbc(tables: Mapping[str, DataFrame], url: str, properties: Mapping[str, str]) -> None:
+    """Append all tables to a database: what others refer to comes first, the facts last."""
+    for table, df in tables.items():
+        append_over_jdbc(df, url, table, properties)
+
+
 def append_run_results(runs: DataFrame, path: str) -> None:
     """Append run results as CSV, always in the declared column order."""
     runs.select(*RUN_RESULT.fieldNames()).write.mode("append").option("header", "true").csv(path)

@@ -7,8 +7,8 @@ from documents import rows
 from pyspark.sql import functions as F
 
 from flatloom.operators.reports import throughput, with_label
-from flatloom.schemas import RUN_RESULT
-from flatloom.sinks.tables import append_over_jdbc, append_run_results, read_run_results
+from flatloom.schemas import PLAYLISTS, RUN_RESULT
+from flatloom.sinks.tables import append_over_jdbc, append_run_results, publish_over_jdbc, read_run_results
 
 
 def run(at, loader, load, constraints, rep, status="OK", slices=100):
@@ -80,3 +80,14 @@ def test_jdbc_writer_passes_batching_on():
         "artists",
         properties={"batchsize": "5", "reWriteBatchedInserts": "true", "user": "u"},
     )
+
+
+def test_tables_are_published_before_what_refers_to_them():
+    order = []
+    frames = {}
+    for table in PLAYLISTS.tables:
+        frames[table] = MagicMock()
+        frames[table].write.mode.return_value.jdbc.side_effect = lambda url, name, properties: order.append(name)
+    publish_over_jdbc(frames, "jdbc:some:url", {})
+    assert order == ["artists", "albums", "tracks", "playlists", "playlist_tracks"]
+    assert all(order.index(r.parent) < order.index(r.table) for r in PLAYLISTS.references)
