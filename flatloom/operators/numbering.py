@@ -32,6 +32,8 @@ def _spread_positions(rows: DataFrame, order_by: Sequence[str], name: str) -> Da
     sizes = stage.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # One row per partition; written, so that its size is known and the rows stay where they are.
+    offsets = written(offsets, "range-offsets")
     local = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         stage.join(offsets, "_range")
@@ -63,7 +65,7 @@ def positions_within(
         return rows.withColumn(name, number)
     ordinary = rows.join(hot, key, "left_anti").withColumn(name, number)
     spread = _spread_positions(rows.join(hot, key, "left_semi"), [key, *order_by], "_at")
-    starts = spread.groupBy(key).agg(F.min("_at").alias("_start"))
+    starts = written(spread.groupBy(key).agg(F.min("_at").alias("_start")), "hot-starts")
     numbered = spread.join(starts, key).withColumn(name, F.col("_at") - F.col("_start"))
     return ordinary.unionByName(numbered.select(*ordinary.columns))
 

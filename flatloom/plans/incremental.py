@@ -57,23 +57,35 @@ class Store:
 
         together(self.spark, *[partial(write, table) for table in tables])
 
-    def read(self, table: str) -> DataFrame:
-        """All rows of finished batches, with the batch that brought them."""
+    def _stored(self, table: str) -> DataFrame:
         schema = StructType([*self._schema(table).fields, StructField(BATCH, StringType())])
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        if table == LOG:
-            return rows
-        return rows.join(self.read(LOG).select(BATCH).distinct(), BATCH, "left_semi")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
     def log(self) -> DataFrame:
         """(unit, n_entries, batch) of every delivered file."""
-        return self.read(LOG)
+        return self._stored(LOG)
+
+    def finished(self) -> DataFrame:
+        """The batches that the log names, as of now.
+
+        They are written, so that their small size is known and rows need not be shuffled
+        by batch to be compared with them.
+        """
+        return written(self.log().select(BATCH).distinct(), "finished-batches")
+
+    def read(self, table: str, finished: DataFrame | None = None) -> DataFrame:
+        """All rows of finished batches, with the batch that brought them."""
+        return self._stored(table).join(self.finished() if finished is None else finished, BATCH, "left_semi")
 
     def tables(self) -> dict[str, DataFrame]:
-        """The target tables: facts and parents as they are, dimensions collapsed over all batches."""
+        """The target tables: facts and parents as they are, dimensions collapsed over all batches.
+
+        All of them show the same batches.
+        """
+        finished = self.finished()
         found = {}
         for table in self.model.tables:
-            rows = self.read(table).drop(BATCH)
+            rows = self.read(table, finished).drop(BATCH)
             dim = next((d for d in self.model.dimensions if d.table == table), None)
             if dim is not None:
                 rows = min_per_column(rows, dim.key, [c for c in rows.columns if c != dim.key])

@@ -7,9 +7,11 @@ import pytest
 import __spark_entry__ as contract
 from flatloom.operators.checks import orphan_keys
 from flatloom.operators.dedup import new_keys
+from flatloom.operators.numbering import positions_within
+from flatloom.plans.incremental import Store, load_batch
 from flatloom.plans.normalize import parse_once
 from flatloom.queries.nested import documents
-from flatloom.sources.star_schema import ORDERS, nested_documents, table
+from flatloom.sources.star_schema import LINE_ORDER, ORDERS, nested_documents, table
 
 
 def plan_of(df) -> str:
@@ -102,3 +104,20 @@ def test_medians_beyond_one_task(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     plan = plan_of(median_by(orders, "o_orderpriority", "o_totalprice", task_values=10))
     assert "percentile" not in plan
+
+
+def test_facts_are_not_shuffled_to_find_finished_batches(spark, sf_dir, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), ORDERS)
+    store.create()
+    load_batch(documents(spark, sf_dir), store, "b0")
+    plan = plan_of(store.tables()["playlist_tracks"])
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_hot_rows_are_not_shuffled_by_their_key(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
+    plan = plan_of(positions_within(rows, "l_orderkey", LINE_ORDER, task_rows=8))
+    spread = plan[plan.index("Union") :].split("_offset")[-1]
+    assert "_at" in plan and "Exchange hashpartitioning(l_orderkey" not in spread
+    assert plan.count("SortMergeJoin") == 0
