@@ -67,7 +67,8 @@ def positions_within(
     spread = _spread_positions(rows.join(hot, key, "left_semi"), [key, *order_by], "_at")
     starts = written(spread.groupBy(key).agg(F.min("_at").alias("_start")), "hot-starts")
     numbered = spread.join(starts, key).withColumn(name, F.col("_at") - F.col("_start"))
-    return ordinary.unionByName(numbered.select(*ordinary.columns))
+    columns = [*rows.columns, name]
+    return ordinary.select(*columns).unionByName(numbered.select(*columns))
 
 
 def chunk_numbers(slices: DataFrame, column: str, chunk_size: int, task_rows: int = TASK_ROWS) -> DataFrame:

@@ -30,6 +30,7 @@ def expected_positions(df):
 def test_positions_within(spark, hot_rows, task_rows):
     found = positions_within(hot_rows, "key", ["v"], "pos", task_rows).collect()
     assert {(r.key, r.pos): r.v for r in found} == expected_positions(hot_rows)
+    assert found[0].__fields__ == ["key", "v", "pos"]
     assert len(found) == 6000
 
 
