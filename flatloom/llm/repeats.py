@@ -32,7 +32,9 @@ from flatloom.llm.text import (
     U64,
     Rolling,
     byte_values,
+    compressed,
     counted,
+    decompressed,
     digests,
     id_key,
     mix,
@@ -94,8 +96,8 @@ def _cut(data: np.ndarray, offsets: np.ndarray, what: Repeats) -> _Slice:
     return _Slice(data, offsets, starts, ends, bounds, owner, found.anchor, found.start, found.count, content)
 
 
-def _sliced(column: pa.Array, what: Repeats) -> Iterator[tuple[int, int, _Slice]]:
-    data, offsets = text_buffer(column)
+def _sliced(column: pa.Array, what: Repeats, packed: bool = False) -> Iterator[tuple[int, int, _Slice]]:
+    data, offsets = text_buffer(decompressed(column) if packed else column)
     for i, j in slices(offsets):
         part = offsets[i : j + 1]
         yield i, j, _cut(data[part[0] : part[-1]], part - part[0], what)
@@ -159,7 +161,7 @@ def _contents(what: Repeats):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for i, j, cut in _sliced(batch.column(1), what):
+            for i, j, cut in _sliced(batch.column(1), what, packed=True):
                 pick = _chosen(cut, batch.column(2), i, j)
                 pick = pick[_smallest(cut.content[pick], ids[i + cut.owner[pick]], cut.start[pick] - cut.bounds[cut.owner[pick]])]
                 owner, first = cut.owner[pick], cut.start[pick]
@@ -185,7 +187,7 @@ def _single_windows(what: Repeats):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for i, j, cut in _sliced(batch.column(1), what):
+            for i, j, cut in _sliced(batch.column(1), what, packed=True):
                 pick = _chosen(cut, batch.column(2), i, j)
                 owner = np.repeat(cut.owner[pick], cut.count[pick])
                 total = int(cut.count[pick].sum())
@@ -264,7 +266,9 @@ def _shards(what: Repeats):
 def candidates(docs: DataFrame, what: Repeats) -> DataFrame:
     """(id, cold, hot) of documents with repeated anchors: lists of these, by how frequent they are."""
     anchors = docs.mapInArrow(_anchors(what), "id long, anchor long")
-    repeated = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    # Written, so that the join reads both sides from shuffles and a hot anchor can be split.
+    repeated = written(counts, "anchor-counts")
     pairs = anchors.join(repeated, "anchor").select("id", "anchor", (F.col("n") > HOT).alias("is_hot"))
     return pairs.groupBy("id").agg(
         F.collect_set(F.expr("if(is_hot, null, anchor)")).alias("cold"),
@@ -356,7 +360,7 @@ def _cut_words(cut: _Slice, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _results(what: Repeats, output: str, extra: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, cut in _sliced(batch.column("text"), what):
+            for i, j, cut in _sliced(batch.column("text"), what, packed=True):
                 covered = _covered(cut, i, j, batch, what)
                 n = j - i
                 sizes = np.diff(cut.bounds)
@@ -393,14 +397,14 @@ def without_repeats(docs: DataFrame, what: Repeats, id_column: str, text_column:
     sources = docs.select(id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
     # Small next to the texts: eight bytes per repeated anchor. Written, as two steps read it.
     listed = written(candidates(sources, what), "repeated-anchors")
-    firsts = first_places(sources, listed, what).groupBy("id").agg(
+    firsts = first_places(compressed(sources), listed, what).groupBy("id").agg(
         F.collect_list(F.struct("start", "content", "mask")).alias("kept")
     )
     marks = written(listed.join(firsts, "id", "left"), "first-places")
     # The other columns travel in a struct, so that their names cannot clash with those used here.
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("row")
     rows = docs.select(others, id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
-    joined = rows.join(marks, "id", "left").select("row", "text", "cold", "hot", "kept")
+    joined = compressed(rows).join(marks, "id", "left").select("row", "text", "cold", "hot", "kept")
     kept = StringType() if output == "digest" else BinaryType()
     counts = [StructField(name, LongType()) for name in ("n_units", "n_removed", "n_spans")]
     schema = StructType([joined.schema["row"], *counts, StructField("kept", kept)])

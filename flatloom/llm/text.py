@@ -7,13 +7,15 @@ mixed. It is a pure function of the bytes, so equal texts agree on every executo
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
@@ -51,6 +53,29 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def compressed(df: DataFrame, column: str = "text") -> DataFrame:
+    """``df`` with a text column in Zstandard form, for texts that are to be shuffled; null counts as empty."""
+    others = [c for c in df.columns if c != column]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(column))
+            view, cuts = memoryview(data), offsets.tolist()
+            packed = [pack(view[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            columns = [*(batch.column(c) for c in others), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*others, column])
+
+    schema = StructType([*(df.schema[c] for c in others), StructField(column, BinaryType())])
+    return df.select(*others, column).mapInArrow(run, schema)
+
+
+def decompressed(column: pa.Array) -> pa.Array:
+    """The texts of a compressed column."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(x) for x in column.to_pylist()], pa.large_binary())
+
+
 def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts with at most ``limit`` bytes each, or one longer text."""
     i, n = 0, len(offsets) - 1
