@@ -4,18 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flatloom.llm.substring_dedup import without_repeated_words
+from flatloom.llm import exact_dedup, packing, quality, simhash, substring_dedup
+from flatloom.llm.queries import tokenizer
 from flatloom.scratch import new_path
 
 
-def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a quality rule rejects go."""
+    return quality.kept_documents(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents equal but for white space, one stays."""
+    return exact_dedup.without_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints, the document with the smallest id stays."""
+    return simhash.one_of_each_group(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that a 20-word window repeats are cut out of the texts; every document stays."""
-    return without_repeated_words(docs)
+    return substring_dedup.without_repeated_words(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, in pieces with their places in sequences of 1024."""
+    found = packing.packed(docs, tokenizer("byte_bpe_50k.json"), with_ids=True)
+    return found.select("row.doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset")
 
 
-STAGES = [("substring_dedup", substring_dedup)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_copies),
+    ("simhash_dedup", near_copies),
+    ("substring_dedup", repeated_passages),
+    ("best_fit_packing", packed_sequences),
+]
 
-# The tokenizer and the fingerprints are beyond SQL; the tests hold every stage against brute force.
+# Fingerprints and token ids are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -35,7 +35,7 @@ def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[n
     # All words with one space after each.
     after = np.cumsum(lengths + 1)
     at = np.arange(int(after[-1]) if len(after) else 0) + np.repeat(starts - (after - lengths - 1), lengths + 1)
-    joined = np.append(data, 32)[np.minimum(at, len(data))]
+    joined = np.append(data, np.uint8(32))[np.minimum(at, len(data))]
     joined[after - 1] = 32
     first = after - lengths - 1
     bounds = np.searchsorted(starts, offsets)
