@@ -131,3 +131,27 @@ def bigram_scores(docs, weights_of):
             score += math.log10(w[0] * pair[p, t] / max(1, single[p]) + w[1] * single[t] / max(1, n) + w[2] / (v + 1))
         out[i] = (held[i], len(ts), sum(single[t] > 0 for t in ts), n, base, score)
     return out
+
+
+SENTENCE = " ".join(f"word{i} the Of" for i in range(40))
+
+# Nulls, empties, white space, ties, repeated rows, a very long text and characters of all widths.
+ODD = [
+    (None, None),
+    (None, SENTENCE),
+    (1, None),
+    (2, ""),
+    (3, " \t\n\x0b\x0c\r "),
+    (4, SENTENCE),
+    (5, SENTENCE + "\n" + SENTENCE),
+    (6, SENTENCE.replace(" ", "\n")),
+    (7, SENTENCE),
+    (7, SENTENCE),
+    (8, "é ☃ 🎉 日本語 \u00a0 \u2028 x" * 30),
+    (9, "a" * 5000),
+    (10, "a " * 3000),
+    (11, " ".join(str(i * 7919 % 10007) for i in range(60000))),
+    (12, "one"),
+    (13, "\x00 \x01"),
+    (-5, "one two three four five"),
+]
