@@ -48,8 +48,10 @@ from flatloom.scratch import written
 
 # Occurrences of an anchor up to which its regions are gathered in one shard.
 HOT = 4096
-# Symbols, about, that are indexed together.
-SHARD_SYMBOLS = 1 << 20
+# Contents that a task remembers, so as to send copies once; it then forgets and starts anew.
+REMEMBERED = 500_000
+# Symbols, about, that are indexed together: what fits the processor's cache is fastest.
+SHARD_SYMBOLS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -87,27 +89,41 @@ def _symbols(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarr
     return starts, starts + 1, byte_values(data)
 
 
-def _cut(data: np.ndarray, offsets: np.ndarray, what: Repeats) -> _Slice:
+def _cut(data: np.ndarray, offsets: np.ndarray, what: Repeats, wanted: np.ndarray) -> _Slice:
+    """The regions of the texts marked in ``wanted``."""
     starts, ends, values = _symbols(data, offsets, what.unit)
     bounds = offsets if what.unit == "bytes" else np.searchsorted(starts, offsets)
-    found = regions(values, bounds, what.window, what.k)
+    sizes = np.diff(bounds)
+    if not wanted.all():
+        values = values[np.repeat(wanted, sizes)]
+    some = np.concatenate([[0], np.cumsum(sizes[wanted])])
+    found = regions(values, some, what.window, what.k)
     content = Rolling(values).ranges(found.start, found.start + found.count + what.window - 1).view(np.int64)
-    owner = owners(bounds, found.start)
-    return _Slice(data, offsets, starts, ends, bounds, owner, found.anchor, found.start, found.count, content)
+    owner = owners(some, found.start)
+    start = found.start - some[owner]
+    owner = np.flatnonzero(wanted)[owner]
+    return _Slice(data, offsets, starts, ends, bounds, owner, found.anchor, start + bounds[owner], found.count, content)
 
 
-def _sliced(column: pa.Array, what: Repeats, packed: bool = False) -> Iterator[tuple[int, int, _Slice]]:
+def _sliced(batch: pa.RecordBatch, what: Repeats, packed: bool = True) -> Iterator[tuple[int, int, _Slice]]:
+    """Slices of a batch; documents without listed anchors, where there are lists, have no regions."""
+    column = batch.column("text")
     data, offsets = text_buffer(decompressed(column) if packed else column)
+    wanted = np.zeros(batch.num_rows, bool)
+    lists = [n for n in ("cold", "hot") if n in batch.schema.names]
+    for name in lists:
+        wanted |= np.array(batch.column(name).value_lengths().fill_null(0)) > 0
     for i, j in slices(offsets):
         part = offsets[i : j + 1]
-        yield i, j, _cut(data[part[0] : part[-1]], part - part[0], what)
+        some = wanted[i:j] if lists else np.ones(j - i, bool)
+        yield i, j, _cut(data[part[0] : part[-1]], part - part[0], what, some)
 
 
 def _anchors(what: Repeats):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for i, _, cut in _sliced(batch.column(1), what):
+            for i, _, cut in _sliced(batch, what, packed=False):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i + cut.owner]), pa.array(cut.anchor)], ["id", "anchor"])
 
     return run
@@ -156,14 +172,34 @@ _REGION = pa.schema(
 
 
 def _contents(what: Repeats):
-    """The regions with listed anchors; of copies within a slice, the first."""
+    """The regions with listed anchors; of copies within a task, the first.
+
+    A task remembers the smallest place of each content it has sent. One that comes later with
+    a smaller place is sent as well, so the order of the documents does not matter.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[int, tuple[int, int]] = {}
+
+        def news(content: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> list[int]:
+            out = []
+            for n, (c, *place) in enumerate(zip(content.tolist(), ids.tolist(), starts.tolist(), strict=True)):
+                place = tuple(place)
+                if c not in sent or place < sent[c]:
+                    sent[c] = place
+                    out.append(n)
+            return out
+
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for i, j, cut in _sliced(batch.column(1), what, packed=True):
+            for i, j, cut in _sliced(batch, what):
                 pick = _chosen(cut, batch.column(2), i, j)
-                pick = pick[_smallest(cut.content[pick], ids[i + cut.owner[pick]], cut.start[pick] - cut.bounds[cut.owner[pick]])]
+                starts = cut.start[pick] - cut.bounds[cut.owner[pick]]
+                pick = pick[_smallest(cut.content[pick], ids[i + cut.owner[pick]], starts)]
+                starts = cut.start[pick] - cut.bounds[cut.owner[pick]]
+                if len(sent) > REMEMBERED:
+                    sent.clear()
+                pick = pick[np.array(news(cut.content[pick], ids[i + cut.owner[pick]], starts), np.int64)]
                 owner, first = cut.owner[pick], cut.start[pick]
                 last = first + cut.count[pick] + what.window - 2
                 yield pa.RecordBatch.from_arrays(
@@ -187,7 +223,7 @@ def _single_windows(what: Repeats):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for i, j, cut in _sliced(batch.column(1), what, packed=True):
+            for i, j, cut in _sliced(batch, what):
                 pick = _chosen(cut, batch.column(2), i, j)
                 owner = np.repeat(cut.owner[pick], cut.count[pick])
                 total = int(cut.count[pick].sum())
@@ -360,7 +396,7 @@ def _cut_words(cut: _Slice, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _results(what: Repeats, output: str, extra: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, cut in _sliced(batch.column("text"), what, packed=True):
+            for i, j, cut in _sliced(batch, what):
                 covered = _covered(cut, i, j, batch, what)
                 n = j - i
                 sizes = np.diff(cut.bounds)

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from flatloom.llm.repeats import Repeats, without_repeats
 from flatloom.llm.runindex import RunLengthIndex
 
-# Up to 61 windows of 100 bytes share an anchor of 40 bytes.
+# Up to 64 windows of 100 bytes share an anchor of 37 bytes.
 WINDOW = 100
-ANCHOR = 40
+ANCHOR = 37
 
 
 def repeated_bytes(

@@ -27,7 +27,7 @@ _BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, d
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 # Work on about this many bytes at a time, which keeps the temporaries in the processor's cache.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
@@ -111,6 +111,11 @@ class Rolling:
         self._sums = np.zeros(len(values) + 1, U64)
         np.cumsum(values * up[: len(values)], out=self._sums[1:])
 
+    def grams(self, k: int) -> np.ndarray:
+        """An unmixed hash of every range of ``k`` values."""
+        n = len(self._sums) - k
+        return (self._sums[k:] - self._sums[:n]) * self._down[:n]
+
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The hash of each range; it depends on the content and the length alone."""
         h = (self._sums[ends] - self._sums[starts]) * self._down[starts]

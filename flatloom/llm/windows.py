@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from flatloom.llm.text import U64, Rolling
+from flatloom.llm.text import U64, Rolling, mix
 
 # Windows looked at together; the low bits of the sort key hold a place within them.
 _STEP = 1 << 20
 _PLACE = U64((1 << 22) - 1)
+_SPREAD = U64(0xD6E8FEB86659FD93)
 
 
 @dataclass
@@ -54,15 +55,16 @@ def regions(values: np.ndarray, bounds: np.ndarray, window: int, k: int) -> Regi
     for at in range(0, max(total, 0), _STEP):
         size = min(_STEP, total - at)
         part = values[at : at + size + window - 1]
-        grams = np.arange(len(part) - k + 1)
-        hashes = Rolling(part).ranges(grams, grams + k)
-        place = (_sliding_min((hashes & ~_PLACE) | grams.astype(U64), width) & _PLACE).astype(np.int64)
+        hashes = Rolling(part).grams(k)
+        # Multiplied, so that all bits of the hash reach the high ones, which are compared.
+        keys = ((hashes * _SPREAD) & ~_PLACE) | np.arange(len(hashes), dtype=U64)
+        place = (_sliding_min(keys, width) & _PLACE).astype(np.int64)
         ok = legal[at : at + size]
         new = ok.copy()
         new[1:] &= (place[1:] != place[:-1]) | ~ok[:-1]
         starts = np.flatnonzero(new)
         counts = np.bincount(np.cumsum(new)[ok] - 1, minlength=len(starts))
-        found.append((hashes[place[starts]].view(np.int64), starts + at, counts))
+        found.append((mix(hashes[place[starts]]).view(np.int64), starts + at, counts))
     if not found:
         return Regions(*(np.zeros(0, np.int64) for _ in range(3)))
     return Regions(*(np.concatenate(x) for x in zip(*found, strict=True)))
