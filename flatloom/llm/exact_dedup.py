@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from flatloom.llm.text import id_key
 from flatloom.scratch import written
 
-# The characters that do not count: space, tab, line feed, vertical tab, form feed, carriage return.
-WHITE_SPACE = " \t\n\x0b\x0c\r"
+# The characters that do not count.
+WHITE_SPACE = r"[\x20\x09-\x0D]"
 PREFIX_CHARS = 64
 
 
 def squeezed(text_column: str) -> Column:
     """The text without white space; null counts as empty."""
-    return F.translate(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), WHITE_SPACE, "")
+    return F.regexp_replace(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), WHITE_SPACE, "")
 
 
 def _light(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
