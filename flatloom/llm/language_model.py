@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from flatloom.llm.text import LOWER, U64, Rolling, byte_values, mix, owners, slices, text_buffer, words
 from flatloom.scratch import written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Keys, about, whose totals one task adds up at a time.
 RANGE_KEYS = 2_000_000
 HELD_OUT_REMAINDER, MODULUS = 2, 7
@@ -127,6 +127,13 @@ def _tokens(ids: list, ends: np.ndarray, raw: bytes) -> _Tokens:
     return _Tokens(ids, held, owner, word_keys, word, pair_keys, pair, before)
 
 
+def _rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    """The rows of a batch one after the other: a row is a whole block, and one is held at a time."""
+    columns = [batch.column(n) for n in names]
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in columns)
+
+
 def _requests(n_ranges: int):
     """The keys of each block by range, with how often its training documents have them."""
 
@@ -134,7 +141,7 @@ def _requests(n_ranges: int):
         width = (1 << 64) // n_ranges + 1
         edges = np.array([min(width * i, (1 << 64) - 1) for i in range(1, n_ranges)], U64)
         for batch in batches:
-            for block, ids, ends, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for block, ids, ends, raw in _rows(batch, "block", "ids", "ends", "texts"):
                 t = _tokens(ids, np.array(ends, np.int64), raw)
                 trained = ~t.held[t.owner]
                 columns: list[list] = [[], [], [], [], [], []]
@@ -213,7 +220,7 @@ class _Counted:
 
 
 def _resolved(batch: pa.RecordBatch) -> Iterator[_Counted]:
-    for ids, ends, raw, totals in zip(*(batch.column(n).to_pylist() for n in ("ids", "ends", "texts", "totals")), strict=True):
+    for ids, ends, raw, totals in _rows(batch, "ids", "ends", "texts", "totals"):
         t = _tokens(ids, np.array(ends, np.int64), raw)
         totals = sorted(totals, key=lambda r: r["range"])
         yield _Counted(
@@ -243,9 +250,12 @@ def _held_out_cells(n_tokens: int, n_types: int):
                 context = c.words[t.before[pick]] - 1
                 pairs = (c.pairs[t.pair[pick]] - 1) / np.maximum(context, 1)
                 single = (c.words[t.word[pick]] - 1) / max(1, n_tokens - 1)
-                keys = np.stack([_bucket(context), cell(pairs * (n_types + 1)), cell(single * (n_types + 1))], axis=1)
-                cells, n = np.unique(keys, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*cells.T.copy(), n)], ["bucket", "pair", "single", "n"])
+                # The three in one number: ratios lie between 2**-64 and 2**64, and _NONE below.
+                wide, shift = 1 << 20, 1 << 19
+                keys = _bucket(context) * wide + cell(pairs * (n_types + 1)) + shift
+                cells, n = np.unique(keys * wide + cell(single * (n_types + 1)) + shift, return_counts=True)
+                columns = [cells // wide // wide, cells // wide % wide - shift, cells % wide - shift, n]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "pair", "single", "n"])
 
     return run
 
