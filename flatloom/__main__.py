@@ -23,6 +23,8 @@ def main() -> None:
     parser.add_argument("--rule", choices=LOAD_RULES, default="min")
     parser.add_argument("--slices", type=int, help="only the first slices, by number")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="of a stream")
+    parser.add_argument("--bytes-per-batch", type=int, help="of a stream, instead of a number of files")
+    parser.add_argument("--state", help="folder for a stream's progress; with it a stopped run is taken up again")
     parser.add_argument("--repeat", type=int, default=1)
     parser.add_argument("--results", help="folder to append run results to, as CSV")
     parser.add_argument("--jdbc", metavar="URL", help="database to append the tables of a good run to")
@@ -40,6 +42,8 @@ def main() -> None:
             args.slices,
             rep=rep,
             files_per_batch=args.files_per_batch,
+            bytes_per_batch=args.bytes_per_batch,
+            state=args.state,
         )
         record.show(truncate=False)
         if args.results:

@@ -38,8 +38,11 @@ def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_ke
 
 
 def dependency_violations(rows: DataFrame, key: str, attrs: Sequence[str], name: str = "n_values") -> DataFrame:
-    """Functional dependency: keys with more than one combination of the attributes, and how many."""
-    combination = F.struct(*attrs) if len(attrs) > 1 else F.col(attrs[0])
+    """Functional dependency: keys with more than one combination of the attributes, and how many.
+
+    NULL counts as a value, with one attribute as with several.
+    """
+    combination = F.struct(*attrs)
     return rows.groupBy(key).agg(F.count_distinct(combination).alias(name)).filter(F.col(name) > 1)
 
 

@@ -10,7 +10,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from flatloom.schemas import Dimension
 
@@ -80,17 +79,12 @@ def first_slice_wins(
 ) -> DataFrame:
     """What slices inserted one by one leave behind when an existing key is never changed.
 
-    Within a slice the last write stands, then the earliest slice keeps the key. Numeric
-    places, such as array ordinals, can be negated, so that one aggregate finds the
-    earliest slice and the last place in it; other orders take one aggregate for each.
+    Within a slice the last write stands, then the earliest slice keeps the key: the last row
+    by the slice counted backwards, then by the order. The slice is a number. A row without a
+    slice loses against any other, one without a place against any other of its slice.
     """
-    numeric = all(isinstance(rows.schema[c].dataType, NumericType) for c in order_by)
-    if numeric:
-        places = [f"_back{i}" for i in range(len(order_by))]
-        back = rows.withColumns({p: -F.col(c) for p, c in zip(places, order_by, strict=True)})
-        return first_row(back, key, attrs, [slice_column, *places])
-    in_slice = last_write_wins(rows, [*_names(key), slice_column], attrs, order_by)
-    return first_row(in_slice, key, attrs, [slice_column])
+    back = rows.withColumn("_back", -F.col(slice_column).cast("decimal(20,0)"))
+    return last_write_wins(back, key, attrs, ["_back", *order_by])
 
 
 def new_keys(incoming: DataFrame, known: DataFrame, key: str | Sequence[str]) -> DataFrame:

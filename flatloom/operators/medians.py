@@ -4,28 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DayTimeIntervalType, YearMonthIntervalType
 
 from flatloom.scratch import written
 
-# Distinct values of a group that one task may hold.
-TASK_VALUES = 1_000_000
 
+def median_by(rows: DataFrame, group: str, value: str, name: str = "median") -> DataFrame:
+    """Exact median of ``value`` per ``group``; groups without a value do not appear.
 
-def _spread_median(rows: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """Find the middle by counting over sorted ranges.
-
-    Values are counted first, then the (group, value) pairs are sorted into ranges and
-    written. Adding up the ranges of a group tells in which of them the middle lies;
-    only those one or two ranges per group are ranked value by value.
+    The built-in median keeps every distinct value of a group in one task. Here values are
+    counted first, then the (group, value) pairs are sorted into ranges and written. Adding up
+    the ranges of a group tells in which of them the middle lies; only those one or two ranges
+    per group are ranked value by value. NULL is a group of its own. Numbers give doubles,
+    intervals give intervals, as with the built-in.
     """
-    counted = rows.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
-    ranged = counted.repartitionByRange(group, value)
+    valued = rows.select(F.col(group).alias("_group"), F.col(value).alias("_value")).filter("_value is not null")
+    counted = valued.groupBy("_group", "_value").agg(F.count("*").alias("_n"))
+    ranged = counted.repartitionByRange("_group", "_value")
     stage = written(ranged.withColumn("_range", F.spark_partition_id()), "median-ranges")
-    sizes = stage.groupBy(group, "_range").agg(F.sum("_n").alias("_size"))
-    upto = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(group)
+    sizes = stage.groupBy("_group", "_range").agg(F.sum("_n").alias("_size"))
+    # One row per group and range.
+    upto = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("_group")
     sizes = sizes.select(
-        group,
+        "_group",
         "_range",
         (F.sum("_size").over(upto) - F.col("_size")).alias("_before"),
         F.col("_size"),
@@ -38,28 +40,16 @@ def _spread_median(rows: DataFrame, group: str, value: str, name: str) -> DataFr
 
     middle = sizes.filter(
         covers(low, F.col("_before"), F.col("_size")) | covers(high, F.col("_before"), F.col("_size"))
-    ).drop("_size")
-    inside = stage.join(written(middle, "median-middle"), [group, "_range"])
-    running = Window.partitionBy(group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ).select(F.col("_group").alias("_g"), F.col("_range").alias("_r"), "_before", "_total")
+    same = F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r"))
+    inside = stage.join(written(middle, "median-middle"), same).drop("_g", "_r")
+    running = Window.partitionBy("_group", "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_first", F.col("_before") + F.sum("_n").over(running) - F.col("_n"))
-    picked = F.when(covers(low, F.col("_first"), F.col("_n")), F.col(value))
-    picked_high = F.when(covers(high, F.col("_first"), F.col("_n")), F.col(value))
-    found = ranked.groupBy(group).agg(F.max(picked).alias("_low"), F.max(picked_high).alias("_high"))
+    picked = F.when(covers(low, F.col("_first"), F.col("_n")), F.col("_value"))
+    picked_high = F.when(covers(high, F.col("_first"), F.col("_n")), F.col("_value"))
+    found = ranked.groupBy("_group").agg(F.max(picked).alias("_low"), F.max(picked_high).alias("_high"))
+    interval = isinstance(rows.schema[value].dataType, (DayTimeIntervalType, YearMonthIntervalType))
+    lower, upper = (F.col(c) if interval else F.col(c).cast("double") for c in ("_low", "_high"))
     # The same weighting of the two middle values as the built-in median.
-    median = F.col("_low").cast("double") * 0.5 + F.col("_high").cast("double") * 0.5
-    return found.select(group, F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("double")).otherwise(median).alias(name))
-
-
-def median_by(
-    rows: DataFrame, group: str, value: str, name: str = "median", task_values: int = TASK_VALUES
-) -> DataFrame:
-    """Exact median of ``value`` per ``group``; groups without a value do not appear.
-
-    The built-in median keeps every distinct value of a group in one task, so it is used
-    only after a count has shown that the largest group is small enough.
-    """
-    valued = rows.select(group, value).filter(F.col(value).isNotNull())
-    largest = valued.groupBy(group).count().agg(F.max("count").alias("n")).first().n
-    if largest is None or largest <= task_values:
-        return valued.groupBy(group).agg(F.median(value).alias(name))
-    return _spread_median(valued, group, value, name)
+    median = F.when(lower == upper, lower).otherwise(lower * 0.5 + upper * 0.5)
+    return found.select(F.col("_group").alias(group), median.alias(name))

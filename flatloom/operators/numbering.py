@@ -9,14 +9,11 @@ from pyspark.sql import functions as F
 
 from flatloom.scratch import written
 
-# What one task sorts without trouble; beyond it the range-partitioned way is taken.
-TASK_ROWS = 2_000_000
-
 # monotonically_increasing_id keeps the row in the low 33 bits, the partition above.
 _ROW_BITS = 33
 
 
-def _spread_positions(rows: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+def positions(rows: DataFrame, order_by: Sequence[str], name: str = "pos") -> DataFrame:
     """Number all rows from 0 in sorted order without bringing them into one task.
 
     The rows are range-partitioned and sorted once and written with their place in the
@@ -42,37 +39,20 @@ def _spread_positions(rows: DataFrame, order_by: Sequence[str], name: str) -> Da
     )
 
 
-def positions(rows: DataFrame, order_by: Sequence[str], name: str = "pos", task_rows: int = TASK_ROWS) -> DataFrame:
-    """Number all rows from 0 in sorted order: one task for a short list, ranges for a long one."""
-    if rows.limit(task_rows + 1).count() <= task_rows:
-        number = F.row_number().over(Window.orderBy(*order_by)).cast("long") - 1
-        return rows.withColumn(name, number)
-    return _spread_positions(rows, order_by, name)
-
-
-def positions_within(
-    rows: DataFrame, key: str, order_by: Sequence[str], name: str = "pos", task_rows: int = TASK_ROWS
-) -> DataFrame:
-    """Number the rows of each key from 0 in sorted order.
+def positions_within(rows: DataFrame, key: str, order_by: Sequence[str], name: str = "pos") -> DataFrame:
+    """Number the rows of each key from 0 in sorted order; NULL is a key like any other.
 
-    Keys of ordinary size go through a window. Keys with more than ``task_rows`` rows,
-    of which there can be only a few, are numbered across ranges, then shifted to start at 0.
+    All rows are numbered across ranges, keys first, then those of a key are shifted to start
+    at 0. A key with very many rows spans several ranges.
     """
-    number = (F.row_number().over(Window.partitionBy(key).orderBy(*order_by)) - 1).cast("long")
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = written(sizes.filter(F.col("_n") > task_rows).select(key), "hot-keys")
-    if hot.isEmpty():
-        return rows.withColumn(name, number)
-    ordinary = rows.join(hot, key, "left_anti").withColumn(name, number)
-    spread = _spread_positions(rows.join(hot, key, "left_semi"), [key, *order_by], "_at")
-    starts = written(spread.groupBy(key).agg(F.min("_at").alias("_start")), "hot-starts")
-    numbered = spread.join(starts, key).withColumn(name, F.col("_at") - F.col("_start"))
-    columns = [*rows.columns, name]
-    return ordinary.select(*columns).unionByName(numbered.select(*columns))
+    spread = written(positions(rows, [key, *order_by], "_at"), "spread")
+    # One row per key, found with a partial step; written, so that its size decides how it is joined.
+    starts = written(spread.groupBy(F.col(key).alias("_key")).agg(F.min("_at").alias("_start")), "starts")
+    numbered = spread.join(starts, F.col(key).eqNullSafe(F.col("_key")))
+    return numbered.withColumn(name, F.col("_at") - F.col("_start")).select(*rows.columns, name)
 
 
-def chunk_numbers(slices: DataFrame, column: str, chunk_size: int, task_rows: int = TASK_ROWS) -> DataFrame:
+def chunk_numbers(slices: DataFrame, column: str, chunk_size: int) -> DataFrame:
     """Consecutive groups of ``chunk_size`` slices: (slice, chunk_id)."""
-    distinct = slices.select(column).distinct()
-    numbered = positions(distinct, [column], "_at", task_rows)
+    numbered = positions(slices.select(column).distinct(), [column], "_at")
     return numbered.select(column, F.floor(F.col("_at") / chunk_size).cast("long").alias("chunk_id"))

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatloom.functions import bounded_rate
-
-# Labels that every executor may hold; a label is a short text.
-BROADCAST_LABELS = 10_000
+from flatloom.scratch import written
 
 
 def latest_runs(runs: DataFrame, group: str, newest_first: Sequence[Column], k: int = 3) -> DataFrame:
@@ -26,12 +24,12 @@ def latest_runs(runs: DataFrame, group: str, newest_first: Sequence[Column], k:
 def with_label(rows: DataFrame, labels: DataFrame, code: str, keep_unknown: bool = True, name: str = "label") -> DataFrame:
     """Add the label of a code. Unknown codes label themselves, or are dropped.
 
-    ``labels`` is a (code, label) table. It is counted first: a short one is broadcast, so
-    that rows with a frequent code stay where they are; for a long one Catalyst decides.
+    ``labels`` is a (code, label) table; of several labels for a code the smallest counts, so
+    that no row is multiplied. They are written, so that Catalyst knows their size in bytes and
+    broadcasts them if that allows.
     """
-    lookup = labels.select(F.col("code").alias(code), F.col("label").alias("_label"))
-    if labels.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
-        lookup = F.broadcast(lookup)
+    one = written(labels.groupBy("code").agg(F.min("label").alias("_label")), "labels")
+    lookup = one.select(F.col("code").alias(code), "_label")
     joined = rows.join(lookup, code, "left" if keep_unknown else "inner")
     return joined.withColumn(name, F.coalesce("_label", code)).drop("_label")
 

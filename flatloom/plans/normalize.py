@@ -21,7 +21,7 @@ from flatloom.operators.flatten import (
     parent_rows,
 )
 from flatloom.schemas import Dimension, DocumentModel
-from flatloom.scratch import new_path, truncate, write_new
+from flatloom.scratch import new_path, stages, write_new
 from flatloom.sinks.tables import read_tables, together, write_tables
 from flatloom.sources.documents import SOURCE
 
@@ -92,20 +92,30 @@ def _dimension_tables(parsed: ParsedParents, rule: str, stage: str) -> dict[str,
     """The dimensions under a rule; ``stage`` is where their common distinct rows are written."""
     model = parsed.model
     if rule == "first_slice":
-        wide = parsed.entries(*_dimension_columns(model), ordinals=True)
-        dated = wide.withColumn(SLICE, slice_range_start(F.col(SOURCE)))
-        return {d.table: _first_slice_dimension(dated, d) for d in model.dimensions}
+        dated = dated_entries(parsed.entries(*_dimension_columns(model), ordinals=True))
+        return {d.table: first_slice_dimension(dated, d) for d in model.dimensions}
     distinct = attribute_combinations(parsed.entries(*_dimension_columns(model)), model)
     distinct.write.parquet(stage)
     rows = parsed.spark.read.schema(distinct.schema).parquet(stage)
     return {d.table: dimension_table(rows, d, rule, distinct_first=False) for d in model.dimensions}
 
 
-def _first_slice_dimension(dated: DataFrame, dim: Dimension) -> DataFrame:
+# The places that decide which row of a key stands, if slices are inserted one by one.
+PLACES = (SLICE, PARENT_ORD, ENTRY_ORD)
+
+
+def dated_entries(entries: DataFrame) -> DataFrame:
+    """Entries with the slice they came from as a number."""
+    return entries.withColumn(SLICE, slice_range_start(F.col(SOURCE)))
+
+
+def first_slice_dimension(dated: DataFrame, dim: Dimension, with_places: bool = False) -> DataFrame:
+    """The dimension that slices inserted one by one leave, with the winners' places if asked for."""
     named = {out: src for out, src in dim.attributes.items() if out != dim.key}
     attrs = [F.col(src).alias(out) for out, src in named.items()]
-    rows = dated.select(dim.key, *attrs, SLICE, PARENT_ORD, ENTRY_ORD)
-    return first_slice_wins(rows, dim.key, list(named), SLICE, [PARENT_ORD, ENTRY_ORD])
+    rows = dated.select(dim.key, *attrs, *PLACES)
+    kept = [*named, *PLACES] if with_places else list(named)
+    return first_slice_wins(rows, dim.key, kept, SLICE, PLACES[1:])
 
 
 def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[str, DataFrame]:
@@ -124,18 +134,18 @@ def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[
 def load(docs: DataFrame, model: DocumentModel, root: str, rule: str = "min") -> dict[str, DataFrame]:
     """Replace all tables under ``root`` and return them as read back.
 
-    The intermediate tables are emptied once the target is written.
+    The intermediate tables are removed once the target is written, or the load has failed.
     """
     _check_rule(rule)
     spark = docs.sparkSession
-    parsed = parse_once(docs, model, ordinals=rule == "first_slice")
-    stage = new_path(spark, "combinations")
-    together(
-        spark,
-        lambda: write_tables(_parent_and_fact_tables(parsed), root, model),
-        lambda: write_tables(_dimension_tables(parsed, rule, stage), root, model),
-    )
-    truncate(spark, parsed.path, stage)
+    with stages(spark):
+        parsed = parse_once(docs, model, ordinals=rule == "first_slice")
+        stage = new_path(spark, "combinations")
+        together(
+            spark,
+            lambda: write_tables(_parent_and_fact_tables(parsed), root, model),
+            lambda: write_tables(_dimension_tables(parsed, rule, stage), root, model),
+        )
     return read_tables(spark, root, model)
 
 

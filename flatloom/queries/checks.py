@@ -134,3 +134,27 @@ def load_status(spark, sf_dir):
 def constraints_of_loaded_tables(spark, sf_dir):
     """Every declared rule, checked on the tables made from the documents."""
     return constraint_report(normalize(documents(spark, sf_dir), ORDERS), ORDERS)
+
+
+@query(f"""
+    with e as {WIDE},
+    bad as (
+        select case when pid % 7 = 0 then null else pid end pid, pos, track_key from e
+        union all select pid, pos, track_key from e where pid % 5 = 0 and pid % 7 <> 0),
+    tracks as (select distinct track_key from e where track_key % 3 <> 0),
+    keys as (select pid, pos, count(*) n from bad group by 1, 2)
+    select 'not_null' kind, 'playlist_tracks.pid' target, count(*) violations from bad where pid is null
+    union all select 'primary_key', 'playlist_tracks(pid, pos)', count(*) from keys where n > 1 or pid is null
+    union all select 'foreign_key', 'playlist_tracks.track_key -> tracks', count(*) from bad
+        where track_key not in (select track_key from tracks)""")
+def constraints_with_violations(spark, sf_dir):
+    """Tables with planted faults: keys lost, entries repeated, tracks removed; rules that hold are left out.
+
+    A primary key counts violating keys, the other rules count rows.
+    """
+    tables = normalize(documents(spark, sf_dir), ORDERS)
+    facts = tables[ORDERS.fact_table]
+    lost = facts.withColumn("pid", F.when(F.col("pid") % 7 != 0, F.col("pid")))
+    repeated = facts.filter("pid % 5 = 0 and pid % 7 != 0")
+    broken = tables | {ORDERS.fact_table: lost.unionByName(repeated), "tracks": tables["tracks"].filter("track_key % 3 != 0")}
+    return constraint_report(broken, ORDERS).filter("violations > 0")

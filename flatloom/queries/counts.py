@@ -77,3 +77,12 @@ def containing_playlists_by_layout(spark, sf_dir):
     write_for_lookup(facts, path, "track_key", "pid", "pos")
     stored = spark.read.schema(facts.schema).parquet(path)
     return parents_containing(stored, "track_key", 7, "pid")
+
+
+@query("""
+    select case when l_returnflag = 'N' then null else l_returnflag end flag, median(l_extendedprice) med
+    from lineitem group by 1""")
+def median_with_null_group(spark, sf_dir):
+    """NULL is a group like any other."""
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    return median_by(table(spark, sf_dir, "lineitem").select(flag, "l_extendedprice"), "flag", "l_extendedprice", "med")

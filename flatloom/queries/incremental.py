@@ -12,13 +12,14 @@ from flatloom.operators.counts import table_counts
 from flatloom.operators.dedup import min_per_column
 from flatloom.operators.flatten import wide_entries
 from flatloom.operators.numbering import chunk_numbers
-from flatloom.plans.incremental import Store, fact_count_mismatch, insert_ignore, load_batch, units_to_load
+from flatloom.plans.incremental import Store, fact_count_mismatch, finalize, insert_ignore, load_batch, units_to_load
 from flatloom.plans.normalize import load, normalize
 from flatloom.plans.run import expected_table_counts, load_by_stream, timed_run
 from flatloom.queries.nested import documents
 from flatloom.queries.registry import WIDE, query
 from flatloom.scratch import new_path, written
-from flatloom.sources.documents import stream_documents
+from flatloom.sinks.tables import append_by_name, read_tables, reset_tables
+from flatloom.sources.documents import SOURCE, read_documents, stream_documents
 from flatloom.sources.star_schema import ORDERS, slice_of, staged_documents, table
 from flatloom.streaming.ingest import emit_new_keys, ingest
 
@@ -59,7 +60,7 @@ def two_level_equals_one_level(spark, sf_dir):
     """Minima per chunk are written, then collapsed over all chunks."""
     chunk = F.floor(F.col("l_orderkey") / 5000).cast("long").alias("chunk")
     chunks = _lines(spark, sf_dir).select(chunk, "l_partkey", "suppkey", "flag")
-    partials = written(min_per_column(chunks, ["chunk", "l_partkey"], ["suppkey", "flag"]), "partials")
+    partials = written(min_per_column(chunks, ["chunk", "l_partkey"], ["suppkey", "flag"], distinct_first=True), "partials")
     return min_per_column(partials, "l_partkey", ["suppkey", "flag"])
 
 
@@ -152,6 +153,84 @@ def stream_equals_batch(spark, sf_dir):
     return streamed.join(batch, "tbl").select("tbl", "n", F.col("digest").eqNullSafe(F.col("expected")).alias("same"))
 
 
+@query(f"""
+    select album_key, name, artist_key from (
+        select album_key, album_name name, artist_key,
+            row_number() over (partition by album_key order by pid // 1000, pid desc, pos desc) rn
+        from {WIDE})
+    where rn = 1""")
+def stream_first_slice_wins(spark, sf_dir):
+    """A stream that keeps winners with their places, collapsed over its batches."""
+    store = Store(spark, new_path(spark, "store"), ORDERS, "first_slice")
+    store.create()
+    docs = stream_documents(spark, staged_documents(spark, sf_dir), ORDERS, "lines", files_per_batch(spark))
+    # Every document is a slice of its own, named by the first key in it.
+    start = F.floor(F.col(ORDERS.parents)[0]["pid"] / 1000).cast("string")
+    named = docs.withColumn(SOURCE, F.concat(F.lit("slice."), start, F.lit("-"), start, F.lit("-"), F.xxhash64(ORDERS.parents)))
+    ingest(named, store, new_path(spark, "stream-state"), "run").awaitTermination()
+    return finalize(store)["albums"].select("album_key", "name", "artist_key")
+
+
+@query("""
+    select o_orderkey // 1000 sl, count(*) playlists from orders group by 1""")
+def same_name_files_both_load(spark, sf_dir):
+    """All documents arrive under one file name in different folders, and once more in others: none is lost."""
+    store = Store(spark, new_path(spark, "store"), ORDERS)
+    store.create()
+    docs = documents(spark, sf_dir)
+    again = [docs.withColumn(SOURCE, F.concat(F.lit(f"{top}/"), F.xxhash64(ORDERS.parents), F.lit("/slice.0-999.json"))) for top in "ab"]
+    for number, batch in enumerate(again):
+        load_batch(batch, store, f"run-{number}")
+    stored = finalize(store)[ORDERS.parent_table]
+    return stored.groupBy(slice_of("pid").alias("sl")).agg(F.count("*").alias("playlists"))
+
+
+@query("select pid, pos, track_key from (select * from " + WIDE + ")")
+def append_by_name_roundtrip(spark, sf_dir):
+    """Tables are reset, then filled by two appends whose columns come in another order."""
+    root = new_path(spark, "appended")
+    reset_tables(spark, root, ORDERS)
+    schema = ORDERS.table_schema(ORDERS.fact_table)
+    facts = normalize(documents(spark, sf_dir), ORDERS)[ORDERS.fact_table].select("track_key", "pos", "pid")
+    for part in ("pid % 2 = 0", "pid % 2 != 0"):
+        append_by_name(facts.filter(part), f"{root}/{ORDERS.fact_table}", schema)
+    return read_tables(spark, root, ORDERS)[ORDERS.fact_table]
+
+
+@query("""
+    select * from (values ('good', 'OK'), ('cut', 'LOAD_FAILED'), ('orphans', 'CONSTRAINTS_FAILED'),
+        ('unreadable', 'CONSTRAINTS_FAILED'), ('lossy', 'MISMATCH')) r(loader, status)""")
+def run_outcomes(spark, sf_dir):
+    """Five real runs: a good one, one that meets cut documents, and three whose tables are damaged after the load."""
+    expected = written(expected_table_counts(lambda p=None, e=(): documents(spark, sf_dir, p, e), ORDERS), "expected")
+
+    def tables():
+        return load(documents(spark, sf_dir), ORDERS, new_path(spark, "tables"))
+
+    def cut():
+        path = new_path(spark, "cut")
+        text = spark.read.text(staged_documents(spark, sf_dir))
+        text.select(F.expr("substring(value, 1, length(value) div 2)").alias("value")).write.text(path)
+        return load(read_documents(spark, path, ORDERS, "lines"), ORDERS, new_path(spark, "tables"))
+
+    def orphans():
+        found = tables()
+        return found | {"tracks": found["tracks"].filter("track_key % 2 = 0")}
+
+    def unreadable():
+        found = tables()
+        broken = F.raise_error(F.lit("damaged")).cast("string")
+        return found | {"artists": found["artists"].withColumn("name", F.when(F.col("artist_key") >= 0, broken))}
+
+    def lossy():
+        found = tables()
+        return found | {ORDERS.fact_table: found[ORDERS.fact_table].filter("pos > 0")}
+
+    ways = {"good": tables, "cut": cut, "orphans": orphans, "unreadable": unreadable, "lossy": lossy}
+    records = [timed_run(spark, name, ORDERS, expected, way) for name, way in ways.items()]
+    return reduce(DataFrame.unionByName, records).select("loader", "status")
+
+
 @query(f"select distinct track_key, track_name from {WIDE}")
 def stream_new_keys(spark, sf_dir):
     """Each track when it is first seen in the stream."""
@@ -159,7 +238,7 @@ def stream_new_keys(spark, sf_dir):
     rows = wide_entries(docs, ORDERS).select("track_key", "track_name")
     out = new_path(spark, "new-keys")
     emit_new_keys(rows, "track_key", out, new_path(spark, "stream-state")).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
+    return spark.read.schema(rows.schema).parquet(out).select(*rows.columns)
 
 
 @query(f"""

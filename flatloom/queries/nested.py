@@ -19,11 +19,11 @@ from flatloom.plans.normalize import ParsedParents, parse_once
 from flatloom.queries.registry import WIDE, query
 from flatloom.schemas import DocumentModel
 from flatloom.scratch import new_path
-from flatloom.sources.documents import SOURCE, documents_from_text, read_documents, read_with_quarantine
-from flatloom.sources.star_schema import ORDERS, PART_ENTRIES, staged_documents, table
+from flatloom.sources.documents import CORRUPT, SOURCE, documents_from_text, quarantined, read_documents, read_with_quarantine
+from flatloom.sources.star_schema import ORDERS, PART_ENTRIES, input_identity, staged_documents, table
 
 
-_parsed: dict[tuple[str, str], ParsedParents] = {}
+_parsed: dict[tuple, ParsedParents] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str, parent_fields=None, entry_fields=()) -> DataFrame:
@@ -41,7 +41,7 @@ def entries_from_text(spark: SparkSession, sf_dir: str, *entry_fields: str) -> D
 
 def entries(spark: SparkSession, sf_dir: str, *entry_fields: str) -> DataFrame:
     """Wide entries with the named fields, from the text as it was parsed once for all consumers."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_identity(spark, sf_dir)
     if key not in _parsed:
         _parsed[key] = parse_once(documents(spark, sf_dir), ORDERS)
     return _parsed[key].entries(*entry_fields).drop(SOURCE)
@@ -156,3 +156,32 @@ def quarantine_split(spark, sf_dir):
     return good.select(F.lit("good").alias("outcome"), "*").unionByName(
         rejected.select(F.lit("rejected").alias("outcome"), "*")
     )
+
+
+@query("""
+    select 'good' outcome, count(*) files, cast(sum(n) as bigint) entries
+    from (select o_orderkey, o_orderstatus, count(l_orderkey) n
+        from orders left join lineitem on l_orderkey = o_orderkey group by 1, 2)
+    where o_orderstatus = 'O'
+    union all select 'rejected', count(*), 0 from orders where o_orderstatus <> 'O'""")
+def several_documents_rejected(spark, sf_dir):
+    """Files with a second document, or with text after the first, next to files with one.
+
+    Every order is a file of its own; its other fields stand before the array of parents.
+    """
+    parents = explode_parents(documents(spark, sf_dir), ORDERS).select(*ORDERS.parent_schema.fieldNames())
+    whole = parents.groupBy("pid").agg(F.collect_list(F.struct(*parents.columns)).alias(ORDERS.parents))
+    status = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pid"), "o_orderstatus")
+    one = F.to_json(F.struct(F.struct(F.col("pid").alias("version")).alias("info"), ORDERS.parents))
+    text = (
+        F.when(F.col("o_orderstatus") == "F", F.concat(one, F.lit("\n"), one))
+        .when(F.col("o_orderstatus") == "P", F.concat(one, F.lit(" end")))
+        .otherwise(one)
+    )
+    files = whole.join(status, "pid").select(text.alias("value"), F.col("pid").cast("string").alias(SOURCE))
+    outcome = F.when(F.col(CORRUPT).isNull(), "good").otherwise("rejected").alias("outcome")
+    n = F.aggregate(
+        F.coalesce(F.col(ORDERS.parents), F.array()), F.lit(0), lambda a, p: a + F.coalesce(F.size(p["tracks"]), F.lit(0))
+    )
+    found = quarantined(files, ORDERS).select(outcome, n.cast("long").alias("n"))
+    return found.groupBy("outcome").agg(F.count("*").alias("files"), F.sum("n").alias("entries"))

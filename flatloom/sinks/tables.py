@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import partial
 
 from pyspark import inheritable_thread_target
@@ -37,8 +38,11 @@ def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
     def run(job: Callable[[], None]) -> None:
         job()
 
+    # Each job sees the scratch block of the caller.
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        list(pool.map(run, jobs))
+        futures = [pool.submit(copy_context().run, run, job) for job in jobs]
+        for future in futures:
+            future.result()
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, model: DocumentModel) -> None:
@@ -53,8 +57,15 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, model: DocumentMode
 
 
 def read_tables(spark: SparkSession, root: str, model: DocumentModel) -> dict[str, DataFrame]:
-    """The target tables under ``root``, with their declared schemas."""
-    return {t: spark.read.schema(model.table_schema(t)).parquet(table_path(root, t)) for t in model.tables}
+    """The target tables under ``root``, with their declared schemas.
+
+    Tables that a store has filled have a folder per batch, which is no column of theirs.
+    """
+    found = {}
+    for table in model.tables:
+        schema = model.table_schema(table)
+        found[table] = spark.read.schema(schema).parquet(table_path(root, table)).select(*schema.fieldNames())
+    return found
 
 
 def write_for_lookup(facts: DataFrame, path: str, entry_key: str, *tie: str) -> None:

@@ -5,28 +5,49 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flatloom.schemas import DocumentModel
 from flatloom.scratch import written
+from flatloom.sources.slices import SLICE_GLOB
 
 SOURCE = "source_file"
 CORRUPT = "_corrupt_record"
-# One document per file, one document per line, or nested columns already in Parquet.
+# One document per slice file, one document per line, or nested columns already in Parquet.
 LAYOUTS = ("file", "lines", "parquet")
 
 
-def _configured(reader, schema: StructType, layout: str, mode: str):
+def _loaded(reader, paths: str | list[str], schema: StructType, layout: str, mode: str) -> DataFrame:
+    """Documents with the file they came from; files are read as text and parsed by the caller."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    reader = reader.schema(schema)
-    if layout == "parquet":
-        return reader.format("parquet")
-    reader = reader.format("json").option("mode", mode).option("recursiveFileLookup", "true")
-    return reader.option("multiLine", "true" if layout == "file" else "false")
+    reader = reader.option("recursiveFileLookup", "true")
+    if layout == "file":
+        loaded = reader.format("text").option("wholetext", "true").option("pathGlobFilter", SLICE_GLOB).load(paths)
+    elif layout == "lines":
+        loaded = reader.schema(schema).format("json").option("mode", mode).load(paths)
+    else:
+        loaded = reader.schema(schema).format("parquet").load(paths)
+    return loaded.withColumn(SOURCE, F.col("_metadata.file_path"))
+
+
+def _is_one_document(text: Column) -> Column:
+    """Whether a text is a single JSON value: as the only element of an array it counts as one.
+
+    Two values without a comma between them, or anything after the first, make the array
+    invalid, whatever the documents contain.
+    """
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+
+
+def _parsed_or_failed(files: DataFrame, schema: StructType) -> DataFrame:
+    """One document per file; a file that holds anything else fails the job."""
+    complaint = F.concat(F.lit("not exactly one JSON document: "), F.col(SOURCE))
+    one = F.when(_is_one_document(F.col("value")), F.col("value")).otherwise(F.raise_error(complaint))
+    parsed = F.from_json(one, schema, {"mode": "FAILFAST"})
+    return files.select(parsed.alias("_doc"), SOURCE).select("_doc.*", SOURCE)
 
 
 def read_documents(
@@ -39,14 +60,17 @@ def read_documents(
 ) -> DataFrame:
     """One row per document, with the file it came from; a malformed document fails the job.
 
-    ``parent_fields`` and ``entry_fields`` narrow what is converted. Leave both out to
-    read everything; ``entry_fields=None`` skips the entry arrays.
+    With the layout "file" only slice files are read, and a file must hold one document: two of
+    them, trailing text or white space alone fail as well. A file of no bytes is no input to
+    Spark and gives no row. ``parent_fields`` and ``entry_fields``
+    narrow what is converted. Leave both out to read everything; ``entry_fields=None`` skips
+    the entry arrays.
     """
     schema = model.schema
     if parent_fields is not None:
         schema = model.pruned(parent_fields, entry_fields)
-    docs = _configured(spark.read, schema, layout, "FAILFAST").load(paths)
-    return docs.withColumn(SOURCE, F.col("_metadata.file_path"))
+    loaded = _loaded(spark.read, paths, schema, layout, "FAILFAST")
+    return _parsed_or_failed(loaded, schema) if layout == "file" else loaded
 
 
 def stream_documents(
@@ -54,12 +78,23 @@ def stream_documents(
     root: str,
     model: DocumentModel,
     layout: str = "file",
-    files_per_batch: int = 100,
+    files_per_batch: int | None = 100,
+    bytes_per_batch: int | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
-    """The same as a file stream that takes ``files_per_batch`` files at a time."""
-    reader: DataStreamReader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    docs = _configured(reader, model.schema, layout, "FAILFAST").load(root)
-    return docs.withColumn(SOURCE, F.col("_metadata.file_path"))
+    """The same as a file stream, in batches of ``files_per_batch`` files or ``bytes_per_batch``.
+
+    Batches by bytes keep their number in proportion to the data where files are small. ``only``
+    is a condition on the source column; the other files are not parsed.
+    """
+    if bytes_per_batch is not None:
+        reader = spark.readStream.option("maxBytesPerTrigger", bytes_per_batch)
+    else:
+        reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    loaded = _loaded(reader, root, model.schema, layout, "FAILFAST")
+    if only is not None:
+        loaded = loaded.filter(only)
+    return _parsed_or_failed(loaded, model.schema) if layout == "file" else loaded
 
 
 @dataclass(frozen=True)
@@ -70,15 +105,31 @@ class Quarantine:
     rejects: DataFrame
 
 
+def quarantined(files: DataFrame, model: DocumentModel) -> DataFrame:
+    """Documents of (value, source_file) rows with their raw text in ``_corrupt_record`` if rejected.
+
+    A text is rejected if it does not parse or holds anything but one document.
+    """
+    schema = StructType([*model.schema.fields, StructField(CORRUPT, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = files.select(F.from_json("value", schema, options).alias("_doc"), "value", SOURCE)
+    bad = ~_is_one_document(F.col("value")) | F.col(f"_doc.{CORRUPT}").isNotNull()
+    fields = [F.when(~bad, F.col("_doc")[f.name]).alias(f.name) for f in model.schema]
+    return parsed.select(*fields, F.when(bad, F.col("value")).alias(CORRUPT), SOURCE)
+
+
 def read_with_quarantine(
     spark: SparkSession, paths: str | list[str], model: DocumentModel, layout: str = "file"
 ) -> Quarantine:
     """Split malformed documents off instead of failing: nothing is lost without a trace."""
     schema = StructType([*model.schema.fields, StructField(CORRUPT, StringType())])
-    reader = _configured(spark.read, schema, layout, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.read
+    if layout == "lines":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    loaded = _loaded(reader, paths, schema, layout, "PERMISSIVE")
     # Written once: both outputs come from one parse, and a text reader cannot be asked
     # for the corrupt record alone.
-    docs = written(reader.load(paths).withColumn(SOURCE, F.col("_metadata.file_path")), "quarantine")
+    docs = written(quarantined(loaded, model) if layout == "file" else loaded, "quarantine")
     return Quarantine(
         good=docs.filter(F.col(CORRUPT).isNull()).drop(CORRUPT),
         rejects=docs.filter(F.col(CORRUPT).isNotNull()).select(SOURCE, F.col(CORRUPT).alias("text")),
@@ -86,27 +137,7 @@ def read_with_quarantine(
 
 
 def documents_from_text(texts: DataFrame, model: DocumentModel, column: str = "value") -> DataFrame:
-    """Documents held as text in a column, such as whole files read by ``read_whole_files``."""
+    """Documents held as text in a column, such as whole files read as text."""
     parsed = F.from_json(F.col(column), model.schema, {"mode": "FAILFAST"})
     kept = [c for c in texts.columns if c != column]
     return texts.select(*kept, parsed.alias("_doc")).select(*kept, "_doc.*")
-
-
-def read_whole_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row (value, source_file) per file, with its whole text."""
-    reader = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
-    texts = reader.load(paths)
-    return texts.withColumn(SOURCE, F.col("_metadata.file_path"))
-
-
-def files_with_several_documents(spark: SparkSession, paths: str | list[str], model: DocumentModel) -> DataFrame:
-    """Files of which the one-document-per-file layout would read only the first document.
-
-    A closing brace, an opening one and the name of the parent array follow each other
-    only where one document ends and the next begins: inside valid JSON, objects are
-    separated by commas and a quote within a text is escaped.
-    """
-    boundary = rf'\}}\s*\{{\s*"{model.parents}"\s*:'
-    extra = F.regexp_count(F.col("value"), F.lit(boundary))
-    found = read_whole_files(spark, paths).select(SOURCE, (extra + 1).alias("documents"))
-    return found.filter(F.col("documents") > 1)

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatloom.functions import slice_range_start
 
+# What the names of slice files look like, as a file pattern.
+SLICE_GLOB = "*slice[.=][0-9]*-[0-9]*.json"
+
 
 def slice_files(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
     """One row (path, slice_start, bytes) per slice file below ``root``; no content is read.
 
-    The order is by number, so that slice 2000 precedes slice 10000. ``limit`` keeps
-    the first N, for short development runs.
+    With ``limit`` the first N in numeric order of the first key in their names, which is
+    not the order of the names as text.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", SLICE_GLOB)
         .load(root)
         .select("path", slice_range_start(F.col("path")).alias("slice_start"), F.col("length").alias("bytes"))
         .filter(F.col("slice_start").isNotNull())
@@ -30,8 +33,19 @@ def slice_files(spark: SparkSession, root: str, limit: int | None = None) -> Dat
 def slice_paths(spark: SparkSession, root: str, limit: int | None = None) -> str | list[str]:
     """What to hand to a reader: the root itself, or the first ``limit`` files by number.
 
-    Only the ``limit`` chosen paths come to the driver.
+    Readers leave out what is no slice file, so both ways take the same kind of files. Only
+    the ``limit`` chosen paths come to the driver.
     """
     if limit is None:
         return root
     return [row.path for row in slice_files(spark, root, limit).select("path").collect()]
+
+
+def among_first_slices(spark: SparkSession, root: str, path: Column, limit: int) -> Column:
+    """Whether a path is one of the first ``limit`` slice files, for readers that take a whole folder."""
+    order = [F.desc("slice_start"), F.desc("path")]
+    last = slice_files(spark, root, limit).orderBy(*order).first()
+    if last is None:
+        return F.lit(False)
+    start = slice_range_start(path)
+    return (start < last.slice_start) | ((start == last.slice_start) & (path <= last.path))

@@ -69,7 +69,7 @@ ORDERS = DocumentModel(
     ),
 )
 
-_staged: dict[tuple[str, str], str] = {}
+_staged: dict[tuple, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,9 +127,20 @@ def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parents.groupBy("slice_id", "part").agg(F.sort_array(F.collect_list(parent)).alias("playlists"))
 
 
+def input_identity(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the files behind the documents: another value once a table is replaced."""
+    found = []
+    for name in ("orders", "lineitem", "supplier", "nation", "region"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        # A file lists itself, a folder its files.
+        for status in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return (spark.sparkContext.applicationId, *found)
+
+
 def staged_documents(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the documents as JSON, one per line; written once per session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_identity(spark, sf_dir)
     if key not in _staged:
         path = new_path(spark, "documents")
         nested_documents(spark, sf_dir).select("playlists").write.json(path)

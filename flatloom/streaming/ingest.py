@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from flatloom.plans.incremental import Store, load_batch
+from flatloom.operators.dedup import smallest_row
+from flatloom.plans.incremental import BATCH, Store, load_batch
 
 
 def ingest(
@@ -33,13 +36,25 @@ def emit_new_keys(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write each key when it is first seen, with the row that brought it.
+    """Write each key when it is first seen, with a row that brought it: the smallest of its batch.
 
-    The keys seen so far are state, spread over the shuffle partitions. Without an arrival
-    time in the data nothing can expire, so the state grows with the number of keys;
-    choose the RocksDB state store for it to live on disk.
+    What has been written is what has been seen: each batch first shrinks to one row per key,
+    with a partial step, so that a hot key does not gather its copies in one task, and is then
+    compared with the keys of the other batches. No state is kept beside the output. A batch
+    writes its own folder and replaces it when it runs again.
     """
     names = [key] if isinstance(key, str) else list(key)
-    fresh = rows.dropDuplicates(names)
-    writer = fresh.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    return writer.outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
+    attrs = [c for c in rows.columns if c not in names]
+    stored = StructType([*rows.schema.fields, StructField(BATCH, LongType())])
+
+    def one_batch(batch_rows: DataFrame, batch_id: int) -> None:
+        fresh = smallest_row(batch_rows, names, attrs)
+        if batch_id > 0:
+            spark = batch_rows.sparkSession
+            known = spark.read.schema(stored).option("basePath", out).parquet(out).filter(F.col(BATCH) < batch_id)
+            on = [fresh[n].eqNullSafe(known[n]) for n in names]
+            fresh = fresh.join(known.select(*names), on, "left_anti")
+        fresh.select(*rows.columns).write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
+
+    writer = rows.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -87,7 +87,7 @@ def test_rules_against_brute_force(spark, writes):
         stored.setdefault(k, v)
     expected = sorted((k, *v) for k, v in stored.items())
     assert rows(dedup.first_slice_wins(df, "key", ["name", "size"], "slice", ["place"])) == expected
-    # A text order cannot be negated and takes the other way.
+    # An order by text goes the same way.
     by_text = df.selectExpr("*", "lpad(string(place), 5, '0') as at")
     assert rows(dedup.first_slice_wins(by_text, "key", ["name", "size"], "slice", ["at"])) == expected
 

@@ -18,9 +18,7 @@ from flatloom.operators.flatten import (
 from flatloom.schemas import PLAYLISTS
 from flatloom.sources.documents import (
     documents_from_text,
-    files_with_several_documents,
     read_documents,
-    read_whole_files,
     read_with_quarantine,
 )
 from flatloom.sources.slices import slice_files, slice_paths
@@ -112,7 +110,7 @@ def test_narrow_read_converts_only_named_fields(spark, folder):
 
 def test_truncated_file_fails_the_job(spark, folder, tmp_path):
     (tmp_path / "in" / "slice.3000-3999.json").write_text('{"playlists": [{"pid": 3000, "tracks": [{"po')
-    with pytest.raises(Exception, match="(?i)malformed"):
+    with pytest.raises(Exception, match="not exactly one JSON document"):
         wide_entries(read_documents(spark, folder, PLAYLISTS), PLAYLISTS).collect()
 
 
@@ -125,12 +123,28 @@ def test_truncated_file_goes_to_quarantine(spark, folder, tmp_path):
     assert rejected[0].text.startswith('{"playlists"')
 
 
-def test_two_documents_in_one_file_are_noticed(spark, folder, tmp_path):
-    assert files_with_several_documents(spark, folder, PLAYLISTS).count() == 0
+@pytest.mark.parametrize("damage", ["twice", "info first", "trailing", "blank"])
+def test_files_with_anything_but_one_document(spark, folder, tmp_path, damage):
     one = write_slice(tmp_path / "other", 5000, [playlist(5000, [track(0, '"} {"')])]).read_text()
-    (tmp_path / "in" / "slice.5000-5999.json").write_text(one + "\n" + one.replace("5000", "5001"))
-    found = files_with_several_documents(spark, folder, PLAYLISTS).collect()
-    assert [(r.source_file.rsplit("/", 1)[-1], r.documents) for r in found] == [("slice.5000-5999.json", 2)]
+    headed = '{"info": {"version": 1}, ' + one.lstrip()[1:]
+    text = {"twice": one + "\n" + one, "info first": headed + headed, "trailing": one + " end", "blank": " "}[damage]
+    bad = tmp_path / "in" / "slice.5000-5999.json"
+    bad.write_text(text)
+    with pytest.raises(Exception, match="not exactly one JSON document"):
+        wide_entries(read_documents(spark, folder, PLAYLISTS), PLAYLISTS).collect()
+    found = read_with_quarantine(spark, folder, PLAYLISTS)
+    assert wide_entries(found.good, PLAYLISTS).count() == 7
+    assert [(r.source_file.rsplit("/", 1)[-1], r.text) for r in found.rejects.collect()] == [(bad.name, text)]
+    bad.write_text(headed)
+    assert wide_entries(read_documents(spark, folder, PLAYLISTS), PLAYLISTS).count() == 8
+
+
+def test_only_slice_files_are_read(spark, folder, tmp_path):
+    expected = rows(wide_entries(read_documents(spark, folder, PLAYLISTS), PLAYLISTS))
+    (tmp_path / "in" / "notes.txt").write_text("no document")
+    (tmp_path / "in" / "other.json").write_text('{"playlists": [{"pid": 1, "tracks": []}]}')
+    for paths in (folder, slice_paths(spark, folder, 9)):
+        assert rows(wide_entries(read_documents(spark, paths, PLAYLISTS), PLAYLISTS)) == expected
 
 
 def test_layouts_agree(spark, folder, tmp_path):
@@ -141,7 +155,7 @@ def test_layouts_agree(spark, folder, tmp_path):
     for layout in ("lines", "parquet"):
         again = read_documents(spark, str(tmp_path / layout), PLAYLISTS, layout)
         assert rows(wide_entries(again, PLAYLISTS)) == expected
-    texts = documents_from_text(read_whole_files(spark, folder), PLAYLISTS)
+    texts = documents_from_text(spark.read.text(folder, wholetext=True), PLAYLISTS)
     assert rows(wide_entries(texts, PLAYLISTS)) == expected
     with pytest.raises(ValueError, match="layout"):
         read_documents(spark, folder, PLAYLISTS, "xml")

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from flatloom.queries import QUERIES
 from flatloom.operators.checks import orphan_keys
 from flatloom.operators.dedup import new_keys
 from flatloom.operators.numbering import positions_within
@@ -27,10 +28,13 @@ def no_broadcast(spark):
 
 
 # These run whole jobs and return counts of stored tables.
-JOBS = {"load_tables", "reload_changes_nothing", "reported_entries", "run_records", "stream_equals_batch", "stream_new_keys"}
+JOBS = {
+    "load_tables", "reload_changes_nothing", "reported_entries", "run_records", "run_outcomes", "stream_equals_batch",
+    "stream_new_keys", "stream_first_slice_wins", "same_name_files_both_load",
+}
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - JOBS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - JOBS))
 def test_no_cross_joins_and_no_python_workers(spark, sf_dir, name):
     plan = plan_of(contract.queries()[name](spark, sf_dir))
     assert not re.search("Cartesian|NestedLoop|EvalPython|MapInPandas|FlatMapGroups", plan)
@@ -38,7 +42,7 @@ def test_no_cross_joins_and_no_python_workers(spark, sf_dir, name):
 
 @pytest.mark.parametrize(
     "name",
-    [n for n in sorted(contract.queries()) if n.startswith(("dedup", "distinct", "fd_", "pk_", "hottest", "new_keys"))],
+    [n for n in sorted(QUERIES) if n.startswith(("dedup", "distinct", "fd_", "pk_", "hottest", "new_keys"))],
 )
 def test_collapsing_uses_no_window_and_combines_before_each_shuffle(spark, sf_dir, name):
     lines = plan_of(contract.queries()[name](spark, sf_dir)).splitlines()
@@ -102,7 +106,7 @@ def test_medians_beyond_one_task(spark, sf_dir):
     from flatloom.operators.medians import median_by
 
     orders = table(spark, sf_dir, "orders")
-    plan = plan_of(median_by(orders, "o_orderpriority", "o_totalprice", task_values=10))
+    plan = plan_of(median_by(orders, "o_orderpriority", "o_totalprice"))
     assert "percentile" not in plan
 
 
@@ -117,7 +121,6 @@ def test_facts_are_not_shuffled_to_find_finished_batches(spark, sf_dir, tmp_path
 
 def test_hot_rows_are_not_shuffled_by_their_key(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    plan = plan_of(positions_within(rows, "l_orderkey", LINE_ORDER, task_rows=8))
-    spread = plan[plan.index("Union") :].split("_offset")[-1]
-    assert "_at" in plan and "Exchange hashpartitioning(l_orderkey" not in spread
-    assert plan.count("SortMergeJoin") == 0
+    plan = plan_of(positions_within(rows, "l_orderkey", LINE_ORDER))
+    assert "_at" in plan and "Exchange hashpartitioning(l_orderkey" not in plan
+    assert plan.count("SortMergeJoin") == 0 and "Window" not in plan

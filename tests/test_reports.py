@@ -66,7 +66,7 @@ def test_report_of_latest_runs(spark, results):
 
 def test_labels(spark):
     codes = spark.createDataFrame([("x",), ("y",)], "code string")
-    labels = spark.createDataFrame([("x", "Ex")], "code string, label string")
+    labels = spark.createDataFrame([("x", "Ex"), ("x", "Xe")], "code string, label string")
     assert rows(with_label(codes, labels, "code"), "code", "label") == [("x", "Ex"), ("y", "y")]
     assert rows(with_label(codes, labels, "code", keep_unknown=False), "code", "label") == [("x", "Ex")]
 

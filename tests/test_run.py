@@ -2,6 +2,7 @@
 
 import pytest
 from documents import playlist, rows, three_slices, track, write_slice
+from pyspark.sql import functions as F
 
 from flatloom.plans.run import expected_table_counts, run_folder, timed_run
 from flatloom.schemas import PLAYLISTS, RUN_RESULT
@@ -36,6 +37,46 @@ def test_ok(spark, folder, tmp_path, way):
 def test_first_slices(spark, folder, tmp_path):
     record = run_folder(spark, folder, str(tmp_path / "out"), PLAYLISTS, limit=2, rule="first_slice")
     assert result(record) == ("OK", 2, 2, 3, 3, 4, 4)
+    streamed = run_folder(spark, folder, str(tmp_path / "stream"), PLAYLISTS, "stream", "first_slice", limit=2)
+    assert result(streamed) == ("OK", 2, 2, 3, 3, 4, 4)
+    for table, df in read_tables(spark, str(tmp_path / "out"), PLAYLISTS).items():
+        assert rows(df) == rows(read_tables(spark, str(tmp_path / "stream"), PLAYLISTS)[table])
+
+
+def test_two_documents_in_a_file_are_a_failed_load(spark, folder, tmp_path, caplog):
+    one = write_slice(tmp_path / "other", 7000, [playlist(7000, [])]).read_text()
+    (tmp_path / "in" / "slice.7000-7999.json").write_text(one + one.replace("7000", "7001"))
+    for way in ("batch", "stream"):
+        assert run_folder(spark, folder, str(tmp_path / way), PLAYLISTS, way).first().status == "LOAD_FAILED"
+    assert "not exactly one JSON document" in caplog.text
+
+
+def test_a_stopped_stream_is_taken_up_again(spark, folder, tmp_path, monkeypatch):
+    """The second of three batches is lost; the next run loads what is missing and nothing twice."""
+    from flatloom.streaming import ingest as module
+
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    original, calls = module.load_batch, []
+
+    def killed(docs, store, batch):
+        calls.append(batch)
+        if len(calls) == 2:
+            store.write(batch, {"playlist_tracks": store.tables()["playlist_tracks"]})
+            raise RuntimeError("executor gone")
+        original(docs, store, batch)
+
+    monkeypatch.setattr(module, "load_batch", killed)
+    stopped = run_folder(spark, folder, target, PLAYLISTS, "stream", files_per_batch=1, state=state)
+    assert stopped.first().status == "LOAD_FAILED"
+    assert calls == ["run-0", "run-1"]
+    again = run_folder(spark, folder, target, PLAYLISTS, "stream", files_per_batch=1, state=state)
+    assert result(again) == ("OK", 3, 2, 3, 3, 5, 7)
+    assert calls == ["run-0", "run-1", "run-1", "run-2"]
+
+
+def test_batches_by_bytes(spark, folder, tmp_path):
+    record = run_folder(spark, folder, str(tmp_path / "out"), PLAYLISTS, "stream", bytes_per_batch=1000)
+    assert result(record) == ("OK", 3, 2, 3, 3, 5, 7)
 
 
 def test_failures_are_records_too(spark, folder, tmp_path):
@@ -71,5 +112,19 @@ def test_mismatch(spark, folder, tmp_path):
 def test_ways(spark, folder, tmp_path):
     with pytest.raises(ValueError, match="way"):
         run_folder(spark, folder, str(tmp_path), PLAYLISTS, way="queue")
-    with pytest.raises(ValueError, match="whole folder"):
-        run_folder(spark, folder, str(tmp_path), PLAYLISTS, way="stream", limit=1)
+    with pytest.raises(ValueError, match="slice files"):
+        run_folder(spark, folder, str(tmp_path), PLAYLISTS, layout="lines", limit=1)
+
+
+def test_violated_rules_and_other_failures_are_logged(spark, folder, tmp_path, caplog):
+    write_slice(tmp_path / "in", 3000, [playlist(0, [track(0, "tr:a")])])
+    assert run_folder(spark, folder, str(tmp_path / "out"), PLAYLISTS).first().status == "CONSTRAINTS_FAILED"
+    assert "primary_key playlists(pid): 1" in caplog.text
+
+    def damaged():
+        tables = read_tables(spark, str(tmp_path / "out"), PLAYLISTS)
+        return tables | {"artists": tables["artists"].withColumn("name", F.raise_error(F.lit("gone")).cast("string"))}
+
+    expected = spark.createDataFrame([], "tbl string, n long")
+    assert timed_run(spark, "damaged", PLAYLISTS, expected, damaged).first().status == "CONSTRAINTS_FAILED"
+    assert "gone" in caplog.text

@@ -7,10 +7,16 @@ import pytest
 from documents import rows, three_slices
 
 from flatloom import scratch
-from flatloom.plans.incremental import Store, load_batch
+from pyspark.sql import functions as F
+
+from flatloom.operators.medians import median_by
+from flatloom.operators.numbering import positions_within
+from flatloom.plans.incremental import Store, finalize, load_batch
 from flatloom.plans.normalize import load
+from flatloom.plans.run import run_folder
 from flatloom.schemas import PLAYLISTS
-from flatloom.sources.documents import read_documents
+from flatloom.sources.documents import read_documents, read_with_quarantine, stream_documents
+from flatloom.streaming.ingest import ingest
 
 
 def session(master, folder=None):
@@ -24,8 +30,9 @@ def test_the_folder_named_by_the_session_is_used():
 
 
 def test_a_cluster_has_to_name_a_folder():
-    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
-        scratch.scratch_root(session("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+            scratch.scratch_root(session(master))
 
 
 def test_local_sessions_get_one_temporary_folder():
@@ -39,22 +46,37 @@ def test_written_tables_are_independent(spark):
     assert a.inputFiles() != b.inputFiles()
 
 
-def test_intermediate_tables_are_emptied(spark, tmp_path):
-    folder = Path(scratch.scratch_root(spark)) / spark.sparkContext.applicationId
+def test_nothing_is_left_in_scratch(spark, tmp_path):
+    """Loads, streams and quarantine, numbering and medians inside a block, all remove what they wrote."""
 
-    def stages():
-        return {p for p in folder.iterdir() if "parents" in p.name or "combinations" in p.name}
+    def left():
+        return set(Path(scratch.scratch_root(spark)).iterdir())
 
-    before = stages()
-    docs = read_documents(spark, str(three_slices(tmp_path / "in")), PLAYLISTS)
-    load(docs, PLAYLISTS, str(tmp_path / "out"))
+    before = left()
+    folder = str(three_slices(tmp_path / "in"))
+    docs = read_documents(spark, folder, PLAYLISTS)
+    load(docs, PLAYLISTS, str(tmp_path / "out"), "first_slice")
     store = Store(spark, str(tmp_path / "store"), PLAYLISTS)
     store.create()
-    load_batch(docs, store, "b0")
-    made = stages() - before
-    assert len(made) == 4
-    for path in made:
-        assert spark.read.parquet(str(path)).count() == 0
+    ingest(stream_documents(spark, folder, PLAYLISTS), store, str(tmp_path / "state"), "run").awaitTermination()
+    finalize(store)
+    run_folder(spark, folder, str(tmp_path / "by-stream"), PLAYLISTS, "stream")
+    with scratch.stages(spark):
+        numbers = spark.range(50).withColumn("key", F.col("id") % 3)
+        assert positions_within(numbers, "key", ["id"]).count() == 50
+        assert median_by(numbers, "key", "id").count() == 3
+        assert read_with_quarantine(spark, folder, PLAYLISTS).good.count() == 3
+        assert left() != before
+    assert left() == before
+
+
+def test_a_failed_load_leaves_nothing_either(spark, tmp_path):
+    before = set(Path(scratch.scratch_root(spark)).iterdir())
+    folder = three_slices(tmp_path / "in")
+    (folder / "slice.1-2.json").write_text("{")
+    with pytest.raises(Exception, match="not exactly one"):
+        load(read_documents(spark, str(folder), PLAYLISTS), PLAYLISTS, str(tmp_path / "out"))
+    assert set(Path(scratch.scratch_root(spark)).iterdir()) == before
 
 
 def test_creating_a_store_again_empties_it(spark, tmp_path):

@@ -1,6 +1,6 @@
 """Nested documents from tables in which one order holds a third of the line items."""
 
-from functools import partial
+import shutil
 
 import pytest
 from documents import rows
@@ -13,10 +13,9 @@ from flatloom.operators.flatten import (
     parents_without_entries,
     wide_entries,
 )
-from flatloom.operators.numbering import positions_within
 from flatloom.plans.normalize import load
-from flatloom.sources import star_schema
-from flatloom.sources.star_schema import LINE_ORDER, ORDERS, PART_ENTRIES, nested_documents
+from flatloom.sources.documents import read_documents
+from flatloom.sources.star_schema import LINE_ORDER, ORDERS, PART_ENTRIES, nested_documents, staged_documents
 
 N_HOT = 3 * PART_ENTRIES + 17
 
@@ -64,9 +63,20 @@ def expected(spark, root):
     return sorted((k, i, s) for k, v in groups.items() for i, s in enumerate(v))
 
 
-@pytest.mark.parametrize("task_rows", [2_000_000, 100])
-def test_a_hot_order_is_split_over_documents(spark, tables, monkeypatch, task_rows):
-    monkeypatch.setattr(star_schema, "positions_within", partial(positions_within, task_rows=task_rows))
+def test_a_replaced_table_is_staged_again(spark, tables, tmp_path):
+    """What is kept for an input is found by the input's files, not by its path alone."""
+    copy = str(tmp_path / "copy")
+    shutil.copytree(tables, copy)
+    before = staged_documents(spark, copy)
+    assert staged_documents(spark, copy) == before
+    spark.read.parquet(f"{tables}/orders.parquet").filter("o_orderkey < 3").write.mode("overwrite").parquet(f"{copy}/orders.parquet")
+    after = staged_documents(spark, copy)
+    docs = read_documents(spark, after, ORDERS, "lines", ["pid", "name"], None)
+    found = explode_parents(docs, ORDERS).filter("name is not null")
+    assert after != before and found.count() == 3
+
+
+def test_a_hot_order_is_split_over_documents(spark, tables):
     docs = nested_documents(spark, tables)
     wide = wide_entries(docs, ORDERS)
     assert sorted(tuple(r) for r in wide.select("pid", "pos", "track_key").collect()) == expected(spark, tables)
