@@ -15,8 +15,10 @@ from flatloom.llm.piece_table import SPACE_MARK, PieceTable, merged, piece_table
 from flatloom.llm.suffixes import suffix_order
 from flatloom.llm.text import slices, text_buffer
 
-# Bytes of text whose distinct words are indexed together.
+# Bytes of text whose new words are indexed together.
 BATCH_BYTES = 4 << 20
+# Words whose ids a task remembers; it then forgets them all and starts anew.
+REMEMBERED_WORDS = 500_000
 
 
 class _Matcher:
@@ -90,7 +92,8 @@ def _relaxed(table: PieceTable, text: np.ndarray, start: np.ndarray, piece: np.n
     piece = np.concatenate([piece, np.full(len(alone), none)])
     word = np.maximum.accumulate(np.where(text == 0, np.arange(n), 0))
     step = end - word[start] - 1
-    order = np.argsort(step, kind="stable")
+    # Small integers are sorted by their digits.
+    order = np.argsort(step.astype(np.uint16) if step.max(initial=0) < 1 << 16 else step, kind="stable")
     start, end, piece, step = start[order], end[order], piece[order], step[order]
     reached = np.full(n + 1, -1)
     cuts = np.searchsorted(step, np.arange(1, int(step.max(initial=0)) + 2))
@@ -106,12 +109,21 @@ def _relaxed(table: PieceTable, text: np.ndarray, start: np.ndarray, piece: np.n
     return reached
 
 
+class _Numbers(dict):
+    """Numbers its keys from 0 as they are asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Encoder:
     """Ids of texts, by words: a space mark and what follows up to the next space."""
 
     def __init__(self, path: str):
         self.table = piece_table(path)
         self._matcher = _Matcher(self.table)
+        self._forget()
 
     def _ids(self, piece: int, character: str) -> list[int]:
         """The ids of a piece, or those of a character without one: its bytes."""
@@ -175,36 +187,48 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; an empty text has none."""
-        numbers: dict[str, int] = {}
-        lists = []
-        for text in texts:
-            if not text:
-                lists.append([])
-                continue
-            marked = SPACE_MARK + text.replace(" ", SPACE_MARK)
-            cut = marked.split(SPACE_MARK)[1:]
-            own = []
-            marks = 1
-            for i, word in enumerate(cut):
-                if word or i == len(cut) - 1:
-                    own.append(numbers.setdefault(SPACE_MARK * marks + word, len(numbers)))
-                    marks = 1
-                else:
-                    marks += 1
-            lists.append(own)
-        ids = self.words(list(numbers))
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([t for x in ids for t in x], np.uint32)
-        begins = np.cumsum(sizes) - sizes
+        """The ids of each text; an empty text has none.
+
+        Words are known by what follows their first space mark, and are encoded once as long
+        as they are remembered.
+        """
+        if len(self._words) > REMEMBERED_WORDS:
+            self._forget()
+        lists = [self._cut(text) for text in texts]
+        new = list(self._words)[len(self._sizes) :]
+        if new:
+            ids = self.words([SPACE_MARK + word for word in new])
+            self._sizes = np.concatenate([self._sizes, np.array([len(x) for x in ids], np.int64)])
+            self._flat = np.concatenate([self._flat, np.array([t for x in ids for t in x], np.uint32)])
+        begins = np.cumsum(self._sizes) - self._sizes
         out = []
-        for own in lists:
-            own = np.array(own, np.int64)
-            n = sizes[own]
+        for numbers in lists:
+            own = np.array(numbers, np.int64)
+            n = self._sizes[own]
             total = int(n.sum())
-            out.append(flat[np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begins[own], n)])
+            out.append(self._flat[np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begins[own], n)])
         return out
 
+    def _forget(self) -> None:
+        self._words, self._sizes, self._flat = _Numbers(), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _cut(self, text: str) -> list[int]:
+        """The numbers of a text's words."""
+        if not text:
+            return []
+        cut = text.replace(SPACE_MARK, " ").split(" ")
+        if "" not in cut:
+            return list(map(self._words.__getitem__, cut))
+        # Spaces that follow one another belong to the next word, or are one at the end.
+        own, marks = [], ""
+        for i, word in enumerate(cut):
+            if word or i == len(cut) - 1:
+                own.append(self._words[marks + word])
+                marks = ""
+            else:
+                marks += SPACE_MARK
+        return own
+
 
 class Decoder:
     """Text of ids: the pieces one after the other, byte pieces as bytes, without the first space."""
@@ -252,7 +276,7 @@ def encoded(
 ) -> DataFrame:
     """(row, n_pieces, ids_crc32[, ids][, decoded_crc32]) per document; ``row`` holds the other columns.
 
-    The distinct words of a few megabytes of text are joined and their suffixes sorted; every
+    The distinct new words of a few megabytes of text are joined and their suffixes sorted; every
     piece of the model finds its occurrences as a range of the suffixes by binary search. The
     occurrences, sorted by where they end, are relaxed: a piece reaches its end if it may follow
     the piece that reaches its start. For a byte-pair model that gives the one segmentation that
