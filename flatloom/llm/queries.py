@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flatloom.llm import sql
 from flatloom.llm.exact_dedup import with_digests
 from flatloom.llm.language_model import scored
 from flatloom.llm.line_dedup import without_aligned_lines
@@ -24,13 +25,13 @@ QUERIES: dict[str, Run] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Run], Run]:
+def query(oracle: str | None = None) -> Callable[[Run], Run]:
     """Register a function under its own name, with the SQL it is checked against, if any."""
 
     def register(run: Run) -> Run:
         QUERIES[run.__name__] = run
-        if sql:
-            SQL[run.__name__] = " ".join(sql.split())
+        if oracle:
+            SQL[run.__name__] = oracle.strip()
         return run
 
     return register
@@ -47,7 +48,7 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("doc_id", "text")))
 
 
-@query()
+@query(sql.QUALITY)
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The figures of the base rules and the verdict of the whole cascade."""
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -56,14 +57,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *measures, failed.alias("base_failed"), "kept")
 
 
-@query()
+@query(sql.REPEATED_WORDS)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by a 20-word window that also starts earlier, removed."""
     found = repeated_words(_documents(spark, sf_dir))
     return found.select("row.doc_id", F.col("n_units").alias("n_words"), "n_removed", F.col("kept").alias("kept_sha256"))
 
 
-@query()
+@query(sql.REPEATED_BYTES)
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes covered by a 100-byte string that also starts earlier, removed."""
     found = repeated_bytes(_documents(spark, sf_dir))
@@ -80,13 +81,13 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", fingerprint, "component_id")
 
 
-@query()
+@query(sql.EXACT)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays of those equal but for white space."""
     return with_digests(_documents(spark, sf_dir))
 
 
-@query()
+@query(sql.URLS)
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules, or by what its aliases are judged."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
