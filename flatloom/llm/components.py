@@ -43,6 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
         now = written(_small_star(_large_star(now)).distinct(), "links")
+    else:
+        raise RuntimeError(f"the components have not settled after {_MAX_ROUNDS} rounds")
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root"))
     found = stars.unionByName(roots).unionByName(loops)
