@@ -48,6 +48,9 @@ def decisions(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     by_prefix = light.groupBy("_length", "_prefix").agg(F.count("*").alias("_n"))
     lengths = by_prefix.groupBy("_length").agg(F.sum("_n").alias("_same_length")).filter("_same_length > 1")
     groups = by_prefix.join(lengths, "_length").filter("_n > 1").select("_length", "_prefix", F.lit(True).alias("_open"))
+    # Written, as the winners below, so that both sides of the join come straight from a shuffle
+    # and the rows of a large group can be split.
+    groups = written(groups, "open-groups")
     refined = light.join(groups, ["_length", "_prefix"], "left")
     closed = refined.filter("_open is null").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
@@ -69,7 +72,7 @@ def decisions(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
         "full",
     )
     winner = F.min(F.struct((-F.col("_chars")).alias("c"), F.col("_id").alias("i"), F.col("doc_id").alias("d")))
-    winners = full.groupBy("text_sha256").agg(F.count("*").alias("group_size"), winner.alias("w"))
+    winners = written(full.groupBy("text_sha256").agg(F.count("*").alias("group_size"), winner.alias("w")), "winners")
     joined = full.join(winners, "text_sha256").select(
         "doc_id", F.col("w.d").alias("keep_id"), "group_size",
         ((F.col("_id") == F.col("w.i")) & (F.col("_chars") == -F.col("w.c"))).alias("kept"),
