@@ -25,19 +25,20 @@ TREE_SAMPLE = 8192
 LEAF_TARGET = 2048
 MAX_LEVELS = 14
 TILE_MEMBERS = 16384
+HASHES_AT_ONCE = 1 << 16
 
 
-def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash) of every shingle: words in lower case joined by one space."""
+def _shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(words in lower case joined by one space; text, start and end of every shingle in them)."""
     data = LOWER[data]
     starts, ends = words(data, offsets)
     lengths = ends - starts
     # All words with one space after each.
     after = np.cumsum(lengths + 1)
-    at = np.arange(int(after[-1]) if len(after) else 0) + np.repeat(starts - (after - lengths - 1), lengths + 1)
+    first = after - lengths - 1
+    at = np.arange(int(after[-1]) if len(after) else 0) + np.repeat(starts - first, lengths + 1)
     joined = np.append(data, np.uint8(32))[np.minimum(at, len(data))]
     joined[after - 1] = 32
-    first = after - lengths - 1
     bounds = np.searchsorted(starts, offsets)
     n_words = np.diff(bounds)
     n_shingles = np.where(n_words >= size, n_words - size + 1, np.minimum(n_words, 1))
@@ -45,22 +46,22 @@ def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[n
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(n_shingles) - n_shingles, n_shingles)
     begin = bounds[owner] + nth
     end = np.minimum(begin + size, bounds[owner + 1]) - 1
-    raw, of = joined.tobytes(), xxhash.xxh64_intdigest
-    hashes = [of(raw[a:b], SEED) for a, b in zip(first[begin].tolist(), (after[end] - 1).tolist(), strict=True)]
-    return owner, np.array(hashes, U64)
+    return joined.tobytes(), owner, first[begin], after[end] - 1
 
 
-def _majority(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+def _majority(raw: bytes, owner: np.ndarray, first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
     """One fingerprint per text: the bits set in over half of its hashes; 0 without any."""
-    out = np.zeros(n, U64)
-    texts, begins = np.unique(owner, return_index=True)
-    if len(texts):
-        counts = np.diff(np.append(begins, len(owner)))
+    sums, counts = np.zeros((n, 64), np.int64), np.bincount(owner, minlength=n)
+    of = xxhash.xxh64_intdigest
+    # A part at a time, as a hash takes 64 bytes once its bits are spread out.
+    for at in range(0, len(owner), HASHES_AT_ONCE):
+        ranges = zip(first[at : at + HASHES_AT_ONCE].tolist(), last[at : at + HASHES_AT_ONCE].tolist(), strict=True)
+        hashes = np.array([of(raw[a:b], SEED) for a, b in ranges], U64)
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.add.reduceat(bits, begins, axis=0, dtype=np.int32)
-        packed = np.packbits(2 * sums > counts[:, None], axis=1, bitorder="little")
-        out[texts] = np.ascontiguousarray(packed).view(U64).ravel()
-    return out
+        texts, begins = np.unique(owner[at : at + HASHES_AT_ONCE], return_index=True)
+        sums[texts] += np.add.reduceat(bits, begins, axis=0, dtype=np.int32)
+    packed = np.packbits(2 * sums > counts[:, None], axis=1, bitorder="little")
+    return np.ascontiguousarray(packed).view(U64).ravel()
 
 
 def _fingerprints(size: int):
@@ -70,8 +71,7 @@ def _fingerprints(size: int):
             prints = np.zeros(batch.num_rows, U64)
             for i, j in slices(offsets, 1 << 18):
                 part = offsets[i : j + 1]
-                owner, hashes = _shingle_hashes(data[part[0] : part[-1]], part - part[0], size)
-                prints[i:j] = _majority(owner, hashes, j - i)
+                prints[i:j] = _majority(*_shingles(data[part[0] : part[-1]], part - part[0], size), j - i)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["row", "fingerprint"])
 
     return run
