@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from flatloom.llm.text import LOWER, U64, Rolling, byte_values, mix, owners, slices, text_buffer, words
 from flatloom.scratch import written
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Keys, about, whose totals one task adds up at a time.
-RANGE_KEYS = 2_000_000
+RANGE_KEYS = 1_000_000
 HELD_OUT_REMAINDER, MODULUS = 2, 7
 _END = U64(0x2545F4914F6CDD1D)
 _PAIR = U64(0xD6E8FEB86659FD93)
@@ -201,7 +201,7 @@ def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held: list[tuple] = []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for row in _rows(batch, *batch.schema.names):
             if held and held[-1][0] != row[0]:
                 yield answer(held)
                 held = []
