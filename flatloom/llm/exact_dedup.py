@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatloom.llm.text import id_key
+from flatloom.llm.text import id_key, whole_row
 from flatloom.scratch import written
 
 # The characters that do not count.
@@ -102,6 +102,9 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str
     dropped = decisions(docs, id_column, text_column).filter("not kept").select(
         F.col("_id").alias("_dropped"), F.col("text_sha256").alias("_sha")
     ).distinct()
-    marked = docs.withColumn("_key", id_key(id_column)).withColumn("_own", F.sha2(squeezed(text_column), 256))
+    # Whole rows travel in a struct, so that no name of theirs can clash.
+    marked = docs.select(
+        whole_row(docs), id_key(id_column).alias("_key"), F.sha2(squeezed(text_column), 256).alias("_own")
+    )
     left = marked.join(dropped, (F.col("_key") == F.col("_dropped")) & (F.col("_own") == F.col("_sha")), "left_anti")
-    return left.dropDuplicates(["_key", "_own"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return left.dropDuplicates(["_key", "_own"]).select("row.*")

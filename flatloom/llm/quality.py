@@ -22,6 +22,7 @@ from flatloom.llm.text import (
     runs,
     slices,
     text_buffer,
+    whole_row,
     words,
 )
 
@@ -231,6 +232,5 @@ def judged(
 def kept_documents(docs: DataFrame, text_column: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass all rules; the columns stay as they are."""
     # The text goes along once as what is judged and once, in the row, as what is returned.
-    twice = docs.withColumn("_judged", F.col(f"`{text_column}`"))
-    found = judged(twice, "_judged", rules).filter("kept")
-    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    twice = docs.select(whole_row(docs), F.col(f"`{text_column}`").alias("text"))
+    return judged(twice, "text", rules).filter("kept").select("row.row.*")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from flatloom.llm.components import components
-from flatloom.llm.text import LOWER, NULL_ID, U64, id_key, owners, slices, text_buffer, words
+from flatloom.llm.text import LOWER, NULL_ID, U64, id_key, slices, text_buffer, whole_row, words
 from flatloom.llm.vptree import VantageTree, block_masks
 from flatloom.scratch import written
 
@@ -260,4 +260,5 @@ def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: s
     found = near_duplicates(docs.select(id_column, text_column), id_column, text_column)
     component = F.coalesce("component_id", F.lit(NULL_ID)).alias("_component")
     stay = found.select(component).distinct()
-    return docs.join(stay, id_key(id_column) == F.col("_component"), "left_semi")
+    rows = docs.select(whole_row(docs), id_key(id_column).alias("_key"))
+    return rows.join(stay, F.col("_key") == F.col("_component"), "left_semi").select("row.*")

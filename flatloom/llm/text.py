@@ -40,6 +40,11 @@ def id_key(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("long"), F.lit(NULL_ID))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, named ``row``."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after the other, and where each begins; null counts as empty."""
     kind = pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string()
