@@ -20,10 +20,10 @@ SHINGLE_WORDS = 4
 MAX_BITS_APART = 4
 SEED = 42
 # The trees are fitted on this many fingerprints at most; every fingerprint is placed in them.
-TREE_SAMPLE = 8192
+TREE_SAMPLE = 32768
 # Fingerprints aimed at per leaf, the deepest tree, and the members that one task holds of a leaf.
 LEAF_TARGET = 2048
-MAX_LEVELS = 14
+MAX_LEVELS = 20
 TILE_MEMBERS = 16384
 HASHES_AT_ONCE = 1 << 16
 

@@ -30,21 +30,31 @@ class VantageTree:
 
     @classmethod
     def fit(cls, sample: np.ndarray, mask: int, levels: int, seed: int = 7) -> VantageTree:
-        """Choose vantage points from the sample, each with the median distance as its radius."""
+        """Choose vantage points from the sample, each with the median distance as its radius.
+
+        All nodes of a level are fitted together.
+        """
         rng = np.random.default_rng(seed)
-        points, radii = np.zeros((1 << levels) - 1, U64), np.zeros((1 << levels) - 1, np.int64)
-        sample = sample & U64(mask)
+        nodes = (1 << levels) - 1
+        # Nodes that the sample does not reach get a random point and half of the bits as radius.
+        points = rng.integers(0, 2**64, nodes, dtype=U64) & U64(mask)
+        radii = np.full(nodes, int(mask).bit_count() // 2, np.int8)
+        sample = rng.permutation(sample & U64(mask))
         where = np.zeros(len(sample), np.int64)
-        for level in range(levels):
-            for node in range((1 << level) - 1, (1 << level + 1) - 1):
-                own = np.flatnonzero(where == node)
-                points[node] = sample[rng.choice(own)] if len(own) else U64(int(rng.integers(0, 2**63)) & mask)
-                apart = np.bitwise_count(sample[own] ^ points[node]).astype(np.int64)
-                radii[node] = int(np.median(apart)) if len(own) else int(mask).bit_count() // 2
-                # The median itself may hold most of the sample; take the better of two splits.
-                if len(own) and abs((apart <= radii[node] - 1).mean() - 0.5) < abs((apart <= radii[node]).mean() - 0.5):
-                    radii[node] -= 1
-                where[own] = 2 * node + np.where(apart <= radii[node], 1, 2)
+        for _ in range(levels):
+            seen, first = np.unique(where, return_index=True)
+            points[seen] = sample[first]
+            apart = np.bitwise_count(sample ^ points[where]).astype(np.int64)
+            order = np.lexsort((apart, where))
+            begins = np.searchsorted(where[order], seen)
+            counts = np.diff(np.append(begins, len(where)))
+            median = apart[order][begins + counts // 2]
+            # The median itself may hold most of the sample; take the better of two splits.
+            number = np.searchsorted(seen, where)
+            upto = np.bincount(number, apart <= median[number], len(seen)) / counts
+            below = np.bincount(number, apart < median[number], len(seen)) / counts
+            radii[seen] = np.where(abs(below - 0.5) < abs(upto - 0.5), median - 1, median)
+            where = 2 * where + np.where(apart <= radii[where], 1, 2)
         return cls(mask, levels, points, radii)
 
     def _step(self, node: np.ndarray, values: np.ndarray) -> np.ndarray:
