@@ -48,4 +48,9 @@ def among_first_slices(spark: SparkSession, root: str, path: Column, limit: int)
     if last is None:
         return F.lit(False)
     start = slice_range_start(path)
-    return (start < last.slice_start) | ((start == last.slice_start) & (path <= last.path))
+
+    def plain(p: Column) -> Column:
+        # Local paths are written with one slash or with three.
+        return F.regexp_replace(p, "^file:/+", "/")
+
+    return (start < last.slice_start) | ((start == last.slice_start) & (plain(path) <= plain(F.lit(last.path))))

@@ -43,6 +43,15 @@ def test_first_slices(spark, folder, tmp_path):
         assert rows(df) == rows(read_tables(spark, str(tmp_path / "stream"), PLAYLISTS)[table])
 
 
+def test_first_slices_of_one_number(spark, tmp_path):
+    """Files with the same first key are told apart by their path, in a stream as in a batch."""
+    for name, pid in (("a", 1), ("b", 2), ("c", 3)):
+        write_slice(tmp_path / "in" / name, 0, [playlist(pid, [])])
+    for way in ("batch", "stream"):
+        run_folder(spark, str(tmp_path / "in"), str(tmp_path / way), PLAYLISTS, way, limit=2)
+        assert rows(read_tables(spark, str(tmp_path / way), PLAYLISTS)["playlists"], "pid") == [(1,), (2,)]
+
+
 def test_two_documents_in_a_file_are_a_failed_load(spark, folder, tmp_path, caplog):
     one = write_slice(tmp_path / "other", 7000, [playlist(7000, [])]).read_text()
     (tmp_path / "in" / "slice.7000-7999.json").write_text(one + one.replace("7000", "7001"))
