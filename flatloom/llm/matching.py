@@ -30,13 +30,12 @@ def first_windows(
     inside = np.ones(len(text), bool)
     inside[begins + lengths] = False
     text[inside] = symbols
-    index = index_type(text, window)
 
     place = np.full(len(text), np.iinfo(np.int64).max)
     total = int(counts.sum())
     nth = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
     place[np.repeat(begins, counts) + nth] = np.repeat(order, counts) + nth
-    earliest = np.minimum.reduceat(place[index.rows], index.group_starts)
+    index = index_type(text, window, place)
 
     by_length = np.argsort(-lengths, kind="stable")
     begin, length = begins[by_length], lengths[by_length]
@@ -51,7 +50,7 @@ def first_windows(
         row[:live] = now = index.extend(text[at], now)
         if matched >= window - 1:
             nth = length[:live] - 1 - matched
-            first = earliest[index.group(now)] == place[at]
+            first = index.earliest[index.group(now)] == place[at]
             masks[:live] |= first.astype(np.uint64) << nth.astype(np.uint64)
     out = np.zeros(n, np.uint64)
     out[by_length] = masks

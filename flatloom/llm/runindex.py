@@ -12,11 +12,13 @@ class RunLengthIndex:
     """Backward search on the runs of the transform of texts joined with the separator 0.
 
     Kept are a bit per row for the starts of runs, the symbol of each run and the total length
-    of the runs of a symbol before each run. Text positions are sampled at the ends of runs and
-    at the first row of every group of ``depth`` equal symbols.
+    of the runs of a symbol before each run. Of the suffixes' places only a sample per run is
+    kept, taken where the run ends or the first ``depth`` symbols change: the smallest place
+    since the sample before. ``earliest`` is the smallest sample of each group of rows with the
+    same ``depth`` symbols.
     """
 
-    def __init__(self, text: np.ndarray, depth: int):
+    def __init__(self, text: np.ndarray, depth: int, place: np.ndarray):
         order = suffix_order(text, depth)
         transform = text[order.rows - 1]
         new = np.ones(len(text), bool)
@@ -29,12 +31,12 @@ class RunLengthIndex:
         by_symbol = np.argsort(self._symbols, kind="stable")
         self._keys = self._symbols[by_symbol] * self._n_runs + by_symbol
         self._before = np.concatenate([[0], np.cumsum(lengths[by_symbol])])
-        self.run_ends = order.rows[np.append(self._starts[1:], len(text)) - 1]
-        self.group_starts = np.flatnonzero(order.begins)
+        sampled = np.flatnonzero(new | order.begins)
+        samples = np.minimum.reduceat(place[order.rows], sampled)
         self._groups = BitVector(order.begins)
+        self.earliest = np.minimum.reduceat(samples, np.searchsorted(sampled, np.flatnonzero(order.begins)))
         self._shorter = BitVector(order.begins_shorter)
         self._shorter_starts = np.flatnonzero(order.begins_shorter)
-        self.rows = order.rows
 
     def extend(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The first row of the matches that have ``symbol`` in front."""

@@ -52,18 +52,19 @@ class FmIndex:
     """Backward search over texts that are joined with the separator 0.
 
     Rows are ordered by ``depth`` symbols, so a search may match up to ``depth`` symbols.
+    ``earliest`` is the smallest ``place`` in each group of rows with the same ``depth`` symbols;
+    no other places of suffixes are kept.
     """
 
-    def __init__(self, text: np.ndarray, depth: int):
+    def __init__(self, text: np.ndarray, depth: int, place: np.ndarray):
         order = suffix_order(text, depth)
-        self.rows = order.rows
         top = int(text.max(initial=0))
         counts = np.bincount(text, minlength=top + 1)
         self._wavelet = WaveletMatrix(text[order.rows - 1], top)
         symbols = np.arange(top + 1)
         first = np.cumsum(counts) - counts
         self._shift = first - self._wavelet.descend(symbols, np.zeros(top + 1, np.int64))
-        self.group_starts = np.flatnonzero(order.begins)
+        self.earliest = np.minimum.reduceat(place[order.rows], np.flatnonzero(order.begins))
         self._shorter = BitVector(order.begins_shorter)
         self._shorter_starts = np.flatnonzero(order.begins_shorter)
         self._groups = BitVector(order.begins)
