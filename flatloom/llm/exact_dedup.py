@@ -101,7 +101,7 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """The documents that stay; the columns stay as they are. Of rows repeated as a whole, one stays."""
     dropped = decisions(docs, id_column, text_column).filter("not kept").select(
         F.col("_id").alias("_dropped"), F.col("text_sha256").alias("_sha")
-    ).distinct()
+    )
     # Whole rows travel in a struct, so that no name of theirs can clash.
     marked = docs.select(
         whole_row(docs), id_key(id_column).alias("_key"), F.sha2(squeezed(text_column), 256).alias("_own")

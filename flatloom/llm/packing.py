@@ -17,8 +17,9 @@ from flatloom.scratch import written
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
-# Pieces packed together: enough that what the last open sequences waste is a small part.
-GROUP_PIECES = 32768
+# Pieces packed together: enough that what the last open sequences waste is a small part, few
+# enough that a task holds them with their ids.
+GROUP_PIECES = 8192
 
 
 @functools.cache

@@ -22,7 +22,6 @@ from flatloom.llm.text import (
     runs,
     slices,
     text_buffer,
-    whole_row,
     words,
 )
 
@@ -199,10 +198,16 @@ def _cascade(texts: Texts, rules: tuple[Rule, ...]) -> np.ndarray:
 
 
 def judged(
-    docs: DataFrame, text_column: str = "text", rules: tuple[Rule, ...] = RULES, measures: tuple[str, ...] = ()
+    docs: DataFrame,
+    text_column: str = "text",
+    rules: tuple[Rule, ...] = RULES,
+    measures: tuple[str, ...] = (),
+    with_text: bool = False,
 ) -> DataFrame:
     """(row, kept, rejected_by, *measures) per document; ``row`` holds the other columns.
 
+    With ``with_text`` the text is among them.
+
     ``rejected_by`` names the rule that stopped the cascade, null if none did. Rules are ordered
     by rejections per cost as estimated on a sample of at most ``SAMPLE_ROWS`` rows; a document
     is kept if it passes them all, so the order does not change who is kept. ``measures`` asks
@@ -212,12 +217,15 @@ def judged(
     one, so ids, repeated rows and ties do not matter; no rows give no rows.
     """
     best = ordered(rules, estimate(docs, rules, text_column))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("row")
-    sources = docs.select(row, F.col(f"`{text_column}`").alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if with_text or c != text_column]).alias("row")
+    # The text is sent once: as a column of its own, or inside the row.
+    sources = docs.select(row) if with_text else docs.select(row, F.col(f"`{text_column}`").alias("text"))
+    place = docs.columns.index(text_column)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, texts in _batches(batch.column(1)):
+            own = batch.column(0).flatten()[place] if with_text else batch.column(1)
+            for i, j, texts in _batches(own):
                 verdict = _cascade(texts, best)
                 names = pa.array([best[v].name if v >= 0 else None for v in verdict], pa.string())
                 columns = [batch.column(0).slice(i, j - i), pa.array(verdict < 0), names]
@@ -231,6 +239,4 @@ def judged(
 
 def kept_documents(docs: DataFrame, text_column: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass all rules; the columns stay as they are."""
-    # The text goes along once as what is judged and once, in the row, as what is returned.
-    twice = docs.select(whole_row(docs), F.col(f"`{text_column}`").alias("text"))
-    return judged(twice, "text", rules).filter("kept").select("row.row.*")
+    return judged(docs, text_column, rules, with_text=True).filter("kept").select("row.*")

@@ -249,7 +249,9 @@ def near_duplicates(
     placed = distinct.join(found, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
-    least = placed.groupBy("root").agg(F.min("least").alias("component"))
+    # Written, so that the rows of a large component can be split in the join.
+    placed = written(placed, "placed")
+    least = written(placed.groupBy("root").agg(F.min("least").alias("component")), "component-ids")
     labels = placed.join(least, "root").select("fingerprint", "component")
     component = F.when(F.col("component") != NULL_ID, F.col("component")).alias("component_id")
     return prints.join(labels, "fingerprint").select("row", "fingerprint", component)
