@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flatloom.llm import exact_dedup, packing, quality, simhash, substring_dedup
 from flatloom.llm.queries import tokenizer
+from flatloom.llm.shipping import ship
 from flatloom.scratch import new_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
+    ship(spark)
     return quality.kept_documents(docs)
 
 
@@ -21,16 +23,19 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints, the document with the smallest id stays."""
+    ship(spark)
     return simhash.one_of_each_group(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that a 20-word window repeats are cut out of the texts; every document stays."""
+    ship(spark)
     return substring_dedup.without_repeated_words(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, in pieces with their places in sequences of 1024."""
+    ship(spark)
     found = packing.packed(docs, tokenizer("byte_bpe_50k.json"), with_ids=True)
     return found.select("row.doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset")
 

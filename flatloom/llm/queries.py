@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from flatloom.llm.exact_dedup import with_digests
 from flatloom.llm.language_model import scored
 from flatloom.llm.line_dedup import without_aligned_lines
 from flatloom.llm.packing import packed
-from flatloom.llm.quality import BASE, judged
+from flatloom.llm.quality import judged
 from flatloom.llm.sentence_pieces import encoded
+from flatloom.llm.shipping import ship
 from flatloom.llm.simhash import near_duplicates
 from flatloom.llm.substring_dedup import repeated_words
 from flatloom.llm.suffix_dedup import repeated_bytes
@@ -29,7 +31,12 @@ def query(oracle: str | None = None) -> Callable[[Run], Run]:
     """Register a function under its own name, with the SQL it is checked against, if any."""
 
     def register(run: Run) -> Run:
-        QUERIES[run.__name__] = run
+        @functools.wraps(run)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[run.__name__] = shipped
         if oracle:
             SQL[run.__name__] = oracle.strip()
         return run
