@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flatloom.llm import exact_dedup, packing, quality, simhash, substring_dedup
 from flatloom.llm.queries import tokenizer
@@ -30,7 +31,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that a 20-word window repeats are cut out of the texts; every document stays."""
     ship(spark)
-    return substring_dedup.without_repeated_words(docs)
+    left = substring_dedup.without_repeated_words(docs)
+    return left.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from flatloom.llm.text import SPACE, U64, Rolling, byte_values, counted, digests, id_key, mix, owners, runs, slices, text_buffer
+from flatloom.llm.text import (
+    SPACE,
+    U64,
+    Rolling,
+    byte_values,
+    compressed,
+    counted,
+    decompressed,
+    digests,
+    id_key,
+    mix,
+    owners,
+    runs,
+    slices,
+    text_buffer,
+)
 from flatloom.scratch import written
 
 # A line that at most so many documents have is rare: it brings all its documents together.
@@ -128,7 +143,7 @@ def _aligned(min_words: int):
 def _without(output: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffer(batch.column("text"))
+            data, offsets = text_buffer(decompressed(batch.column("text")))
             places = batch.column("places")
             for i, j in slices(offsets):
                 part, n = offsets[i : j + 1] - offsets[i], j - i
@@ -161,10 +176,12 @@ def aligned_removals(sources: DataFrame, rare: int, min_words: int) -> DataFrame
     lines = written(sources.mapInArrow(_keyed, "key long, id long, place long, words long"), "lines")
     shared = (
         lines.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("id").alias("first"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("id", "place")).alias("f"))
         .filter("n > 1")
-        .select("key", "first", (F.col("n") <= rare).alias("is_rare"))
+        .select("key", F.col("f.id").alias("first"), F.col("f.place").alias("place_a"), (F.col("n") <= rare).alias("is_rare"))
     )
+    # Written, so that the join reads both sides from shuffles and a hot line can be split.
+    shared = written(shared, "shared-lines")
     held = lines.join(shared, "key")
     # All documents of a rare line meet: at most `rare` rows per key are gathered.
     groups = held.filter("is_rare").groupBy("key", "words").agg(F.collect_list(F.struct("id", "place")).alias("g"))
@@ -173,9 +190,7 @@ def aligned_removals(sources: DataFrame, rare: int, min_words: int) -> DataFrame
         F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.place").alias("place_a"), F.col("y.place").alias("place_b"), "words"
     )
     # A frequent line meets its first document only: one row per line, no pairs among the others.
-    frequent = held.filter("not is_rare")
-    hubs = frequent.filter("id = first").groupBy("key").agg(F.min("place").alias("place_a"))
-    far = frequent.filter("id > first").join(hubs, "key").select(
+    far = held.filter("not is_rare and id > first").select(
         F.col("first").alias("a"), F.col("id").alias("b"), "place_a", F.col("place").alias("place_b"), "words"
     )
     matches = close.unionByName(far).repartition("b", "a").sortWithinPartitions("b", "a", "place_b", "place_a")
@@ -209,8 +224,9 @@ def without_aligned_lines(
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("row")
     sources = docs.select(id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
     removals = written(aligned_removals(sources, rare, min_words), "removals")
-    whole = docs.select(row, id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
-    joined = whole.join(removals, "id", "left").select("row", "text", "places")
+    whole = compressed(docs.select(row, id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text")))
+    # The removals grow with the documents, so the join is the same for few of them as for many.
+    joined = whole.join(removals.hint("merge"), "id", "left").select("row", "text", "places")
     kept = StringType() if output == "digest" else BinaryType()
     counts = [StructField("n_lines", LongType()), StructField("n_removed", LongType())]
     return joined.mapInArrow(_without(output), StructType([joined.schema["row"], *counts, StructField("kept", kept)]))

@@ -38,8 +38,11 @@ def repeated_words(
 
 
 def without_repeated_words(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents with repeated words cut out of their texts; the columns stay as they are."""
+    """The documents with repeated words cut out of their texts; the columns stay as they are.
+
+    A word goes with the white space after it. A null text comes back empty.
+    """
     found = repeated_words(docs, id_column, text_column, output="text")
-    text = F.when(F.col("n_removed") >= 0, F.decode("kept", "UTF-8")).alias(text_column)
+    text = F.decode("kept", "UTF-8").alias(text_column)
     others = [F.col(f"row.`{c}`").alias(c) if c != text_column else text for c in docs.columns]
     return found.select(*others)

@@ -34,6 +34,8 @@ def test_stages(spark, sf_dir, tmp_path):
             assert set(found) == set(now)
             for i, r in found.items():
                 assert len(brute.words(r.text)) == kept[i][0] - kept[i][1]
+                assert r.n_chars == len(r.text)
+                assert kept[i][1] or r == now[i]
         else:
             assert all(found[i] == now[i] for i in found)
         now = found
