@@ -77,7 +77,8 @@ class _Slice:
     anchor: np.ndarray
     start: np.ndarray
     count: np.ndarray
-    content: np.ndarray
+    # The hash of what the windows of each region cover; left out where only anchors are wanted.
+    content: np.ndarray | None
 
 
 def _symbols(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,11 +90,15 @@ def _symbols(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarr
     return starts, starts + 1, byte_values(data)
 
 
-def _cut(data: np.ndarray, offsets: np.ndarray, what: Repeats, wanted: np.ndarray) -> _Slice:
-    """The regions of the texts marked in ``wanted``."""
+def _cut(data: np.ndarray, offsets: np.ndarray, what: Repeats, wanted: np.ndarray | None) -> _Slice:
+    """The regions of the texts marked in ``wanted``; with None of all texts, without contents."""
     starts, ends, values = _symbols(data, offsets, what.unit)
     bounds = offsets if what.unit == "bytes" else np.searchsorted(starts, offsets)
     sizes = np.diff(bounds)
+    if wanted is None:
+        found = regions(values, bounds, what.window, what.k)
+        owner = owners(bounds, found.start)
+        return _Slice(data, offsets, starts, ends, bounds, owner, found.anchor, found.start, found.count, None)
     if not wanted.all():
         values = values[np.repeat(wanted, sizes)]
     some = np.concatenate([[0], np.cumsum(sizes[wanted])])
@@ -115,7 +120,7 @@ def _sliced(batch: pa.RecordBatch, what: Repeats, packed: bool = True) -> Iterat
         wanted |= np.array(batch.column(name).value_lengths().fill_null(0)) > 0
     for i, j in slices(offsets):
         part = offsets[i : j + 1]
-        some = wanted[i:j] if lists else np.ones(j - i, bool)
+        some = wanted[i:j] if lists else None
         yield i, j, _cut(data[part[0] : part[-1]], part - part[0], what, some)
 
 

@@ -7,6 +7,11 @@ import numpy as np
 from flatloom.llm.suffixes import suffix_order
 from flatloom.llm.wavelet import BitVector
 
+# Runs per block: symbols in a block are compared one by one.
+_BLOCK_BITS = 5
+_BLOCK = 1 << _BLOCK_BITS
+_PLACES = np.arange(_BLOCK, dtype=np.uint8)
+
 
 class RunLengthIndex:
     """Backward search on the runs of the transform of texts joined with the separator 0.
@@ -29,7 +34,17 @@ class RunLengthIndex:
         lengths = np.diff(np.append(self._starts, len(text)))
         self._n_runs = len(self._starts)
         by_symbol = np.argsort(self._symbols, kind="stable")
-        self._keys = self._symbols[by_symbol] * self._n_runs + by_symbol
+        # How many runs of each symbol lie before each block of runs, and the blocks themselves.
+        top = int(self._symbols.max(initial=0)) + 1
+        n_blocks = self._n_runs // _BLOCK + 1
+        self._blocks = np.full(n_blocks * _BLOCK, top, np.uint16)
+        self._blocks[: self._n_runs] = self._symbols
+        of_block = np.arange(self._n_runs) // _BLOCK * top + self._symbols
+        counts = np.bincount(of_block, minlength=n_blocks * top).reshape(n_blocks, top)
+        first = np.cumsum(counts.sum(axis=0)) - counts.sum(axis=0)
+        self._blocks = self._blocks.reshape(n_blocks, _BLOCK)
+        # Together with where the runs of the symbol begin, which gives a place in the order by symbol.
+        self._runs_before = np.cumsum(counts, axis=0) - counts + first
         self._before = np.concatenate([[0], np.cumsum(lengths[by_symbol])])
         sampled = np.flatnonzero(new | order.begins)
         samples = np.minimum.reduceat(place[order.rows], sampled)
@@ -41,7 +56,9 @@ class RunLengthIndex:
     def extend(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The first row of the matches that have ``symbol`` in front."""
         run = self._run_bits.rank(np.minimum(row + 1, self._run_bits.n)) - 1
-        before = self._before[np.searchsorted(self._keys, symbol * self._n_runs + run)]
+        block, within = run >> _BLOCK_BITS, (run & (_BLOCK - 1)).astype(np.uint8)
+        same = (self._blocks[block] == symbol.astype(np.uint16)[:, None]) & (_PLACES < within[:, None])
+        before = self._before[self._runs_before[block, symbol] + np.count_nonzero(same, axis=1)]
         return before + np.where(self._symbols[run] == symbol, row - self._starts[run], 0)
 
     def shorten(self, row: np.ndarray) -> np.ndarray:

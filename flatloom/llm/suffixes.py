@@ -18,6 +18,26 @@ def dense_ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, ranks, new
 
 
+def pair_ranks(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for pairs of numbers up to ``n``.
+
+    Pair and index share one integer if they fit, as plain sorting is faster than finding an order.
+    """
+    n = len(high)
+    bits = int(n + 1).bit_length()
+    if 3 * bits > 63:
+        return dense_ranks(high * (n + 1) + low)
+    packed = (high << 2 * bits) | (low << bits) | np.arange(n)
+    packed.sort()
+    order = packed & ((1 << bits) - 1)
+    packed >>= bits
+    new = np.ones(n, bool)
+    np.not_equal(packed[1:], packed[:-1], out=new[1:])
+    ranks = np.empty(n, np.int64)
+    ranks[order] = np.cumsum(new) - 1
+    return order, ranks, new
+
+
 def _shifted(values: np.ndarray, by: int) -> np.ndarray:
     """The value ``by`` places further on, plus one; 0 beyond the end."""
     out = np.zeros(len(values), np.int64)
@@ -58,8 +78,7 @@ def suffix_order(text: np.ndarray, depth: int) -> SuffixOrder:
         return SuffixOrder(rows, begins, np.arange(n) == 0)
     while True:
         step = min(span, depth - span)
-        key = ranks * (n + 1) + _shifted(ranks, step)
-        rows, new_ranks, begins = dense_ranks(key)
+        rows, new_ranks, begins = pair_ranks(ranks, _shifted(ranks, step))
         if span + step == depth:
             break
         ranks, span = new_ranks, span + step
