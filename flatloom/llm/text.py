@@ -27,7 +27,7 @@ _BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, d
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 # Work on about this many bytes at a time, which keeps the temporaries in the processor's cache.
-SLICE_BYTES = 1 << 18
+SLICE_BYTES = 1 << 16
 
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 

@@ -47,23 +47,24 @@ def regions(values: np.ndarray, bounds: np.ndarray, window: int, k: int) -> Regi
     width = window - k + 1
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     total = len(values) - window + 1
-    legal = np.zeros(max(total, 0) + 1, np.int32)
-    long_enough = np.diff(bounds) >= window
-    np.add.at(legal, bounds[:-1][long_enough], 1)
-    np.add.at(legal, bounds[1:][long_enough] - window + 1, -1)
-    legal = np.cumsum(legal[:-1]) > 0
+    legal = np.zeros(max(total, 0), bool)
+    for first, last in zip(bounds[:-1].tolist(), (bounds[1:] - window + 1).tolist(), strict=True):
+        if first < last:
+            legal[first:last] = True
     for at in range(0, max(total, 0), _STEP):
         size = min(_STEP, total - at)
         part = values[at : at + size + window - 1]
         hashes = Rolling(part).grams(k)
         # Multiplied, so that all bits of the hash reach the high ones, which are compared.
         keys = ((hashes * _SPREAD) & ~_PLACE) | np.arange(len(hashes), dtype=U64)
-        place = (_sliding_min(keys, width) & _PLACE).astype(np.int64)
+        place = (_sliding_min(keys, width) & _PLACE).view(np.int64)
         ok = legal[at : at + size]
         new = ok.copy()
         new[1:] &= (place[1:] != place[:-1]) | ~ok[:-1]
         starts = np.flatnonzero(new)
-        counts = np.bincount(np.cumsum(new)[ok] - 1, minlength=len(starts))
+        # A region ends where the next begins, or where a text has no further window.
+        stops = np.append(np.flatnonzero(ok[:-1] & ~ok[1:]) + 1, size)
+        counts = np.minimum(np.append(starts[1:], size), stops[np.searchsorted(stops, starts, "right")]) - starts
         found.append((mix(hashes[place[starts]]).view(np.int64), starts + at, counts))
     if not found:
         return Regions(*(np.zeros(0, np.int64) for _ in range(3)))
