@@ -28,8 +28,9 @@ from flatloom.llm.text import (
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 REPEAT_WINDOW = 3
-# Documents, at most, on which cost and selectivity of the rules are estimated.
-SAMPLE_ROWS = 2000
+# Documents, and bytes of each, at most, on which cost and selectivity of the rules are estimated.
+SAMPLE_ROWS = 500
+SAMPLE_BYTES = 1 << 16
 
 
 class Texts:
@@ -148,33 +149,27 @@ def _batches(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
 
 
 def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "text") -> list[dict]:
-    """(name, seconds per byte, share of texts rejected) per rule, on at most ``SAMPLE_ROWS`` rows.
+    """(name, seconds per byte, share of texts rejected) per rule, on a sample of bounded size.
 
-    Every rule is timed alone, from nothing known. Only the order of the rules depends on it.
+    The sample is the first ``SAMPLE_ROWS`` texts of at most ``SAMPLE_BYTES``, for which Spark reads
+    as few files as it needs; it is judged here on the driver. Every rule is timed alone, from
+    nothing known. Only the order of the rules depends on it.
     """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, texts in _batches(batch.column(0)):
-                for number, rule in enumerate(rules):
-                    fresh = Texts(texts.data, texts.offsets)
-                    start = time.perf_counter()
-                    out = int((~rule.passes(fresh)).sum())
-                    spent = time.perf_counter() - start
-                    columns = [[number], [spent], [len(texts.data)], [out], [texts.n]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rule", "s", "bytes", "out", "n"])
-
-    sample = docs.select(F.col(f"`{text_column}`").alias("text")).limit(SAMPLE_ROWS)
-    seen = sample.mapInArrow(run, "rule long, s double, bytes long, out long, n long").groupBy("rule").agg(
-        F.sum("s").alias("s"), F.sum("bytes").alias("bytes"), F.sum("out").alias("out"), F.sum("n").alias("n")
-    )
-    by_number = {r["rule"]: r for r in seen.collect()}
-    found = []
-    for number, rule in enumerate(rules):
-        r = by_number.get(number)
-        cost = r["s"] / max(1, r["bytes"]) if r else 0.0
-        found.append({"name": rule.name, "cost": cost, "rejects": r["out"] / max(1, r["n"]) if r else 0.0})
-    return found
+    text = F.col(f"`{text_column}`").alias("text")
+    short = docs.select(text).filter(F.octet_length("text") <= SAMPLE_BYTES)
+    sample = pa.array([r[0] for r in short.limit(SAMPLE_ROWS).collect()], pa.string())
+    spent, out, size = [0.0] * len(rules), [0] * len(rules), 0
+    for _, _, texts in _batches(sample):
+        size += len(texts.data)
+        for number, rule in enumerate(rules):
+            fresh = Texts(texts.data, texts.offsets)
+            start = time.perf_counter()
+            out[number] += int((~rule.passes(fresh)).sum())
+            spent[number] += time.perf_counter() - start
+    return [
+        {"name": rule.name, "cost": s / max(1, size), "rejects": n / max(1, len(sample))}
+        for rule, s, n in zip(rules, spent, out, strict=True)
+    ]
 
 
 def ordered(rules: tuple[Rule, ...], estimates: list[dict]) -> tuple[Rule, ...]:
@@ -209,7 +204,7 @@ def judged(
     With ``with_text`` the text is among them.
 
     ``rejected_by`` names the rule that stopped the cascade, null if none did. Rules are ordered
-    by rejections per cost as estimated on a sample of at most ``SAMPLE_ROWS`` rows; a document
+    by rejections per cost as estimated on a sample of at most ``SAMPLE_ROWS`` texts; a document
     is kept if it passes them all, so the order does not change who is kept. ``measures`` asks
     for figures of every text, also of those that a cheaper rule has rejected.
 
