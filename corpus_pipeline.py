@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flatloom.llm import exact_dedup, packing, quality, simhash, substring_dedup
 from flatloom.llm.queries import tokenizer
 from flatloom.llm.shipping import ship
-from flatloom.scratch import new_path
+from flatloom.scratch import new_path, remove, stages
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +55,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written as Parquet and read again by the next.
+
+    What a stage needs on the way, and what the stage before it has written, is removed once it
+    has been written itself.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         path = new_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with stages(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        remove(spark, *before)
+        docs, before = spark.read.parquet(path), [path]
     return docs

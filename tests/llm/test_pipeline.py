@@ -1,11 +1,13 @@
 """The pipeline's stages, each against a brute-force version on what it was given."""
 
 from collections import defaultdict
+from pathlib import Path
 
 import brute
 
 import corpus_pipeline
 from flatloom.llm import packing
+from flatloom.scratch import scratch_root
 
 
 def test_stages(spark, sf_dir, tmp_path):
@@ -48,4 +50,7 @@ def test_stages(spark, sf_dir, tmp_path):
 
 
 def test_run(spark, sf_dir):
+    before = set(Path(scratch_root(spark)).iterdir())
     assert corpus_pipeline.run(spark, sf_dir).filter("offset + length > 1024").count() == 0
+    # Only the last stage's table is left.
+    assert len(set(Path(scratch_root(spark)).iterdir()) - before) == 1
