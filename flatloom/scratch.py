@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -56,6 +57,17 @@ def remove(spark: SparkSession, *paths: str) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose DataFrames are no longer referenced.
+
+    It does so when the driver collects its garbage, which on a large heap may be long after
+    the files have become useless; between the steps of a job with large shuffles that is
+    worth asking for.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def stages(spark: SparkSession) -> Iterator[None]:
     """Remove every scratch table that is written inside the block when it ends.
