@@ -44,7 +44,7 @@ from flatloom.llm.text import (
     words,
 )
 from flatloom.llm.windows import regions
-from flatloom.scratch import written
+from flatloom.scratch import release, written
 
 # Occurrences of an anchor up to which its regions are gathered in one shard.
 HOT = 4096
@@ -438,10 +438,13 @@ def without_repeats(docs: DataFrame, what: Repeats, id_column: str, text_column:
     sources = docs.select(id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
     # Small next to the texts: eight bytes per repeated anchor. Written, as two steps read it.
     listed = written(candidates(sources, what), "repeated-anchors")
+    release(docs.sparkSession)
     firsts = first_places(compressed(sources), listed, what).groupBy("id").agg(
         F.collect_list(F.struct("start", "content", "mask")).alias("kept")
     )
     marks = written(listed.join(firsts, "id", "left"), "first-places")
+    del firsts
+    release(docs.sparkSession)
     # The other columns travel in a struct, so that their names cannot clash with those used here.
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("row")
     rows = docs.select(others, id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
