@@ -6,6 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -62,10 +63,12 @@ def release(spark: SparkSession) -> None:
 
     It does so when the driver collects its garbage, which on a large heap may be long after
     the files have become useless; between the steps of a job with large shuffles that is
-    worth asking for.
+    worth asking for. Asked twice, as what the first collection frees still holds other files.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for pause in (0.5, 0.0):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(pause)
 
 
 @contextmanager
