@@ -27,9 +27,10 @@ from flatloom.llm.text import (
     slices,
     text_buffer,
 )
+from flatloom.operators.numbering import positions_within
 from flatloom.scratch import written
 
-# A line that at most so many documents have is rare: it brings all its documents together.
+# A run of lines that at most so many documents have is rare: it brings all its documents together.
 RARE_DOCUMENTS = 4
 # Words that an aligned block must have to be deleted.
 MIN_BLOCK_WORDS = 8
@@ -62,15 +63,58 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text with a line: the keys of its lines in order, and their words."""
     for batch in batches:
         ids = np.asarray(batch.column(0))
         data, offsets = text_buffer(batch.column(1))
         for i, j in slices(offsets):
             part = offsets[i : j + 1]
-            _, _, text, nth, key, size = _lines(data[part[0] : part[-1]], part - part[0])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, ids[i + text], nth, size)], ["key", "id", "place", "words"]
-            )
+            _, _, text, _, key, size = _lines(data[part[0] : part[-1]], part - part[0])
+            own, begins = np.unique(text, return_index=True)
+            cuts = pa.array(np.append(begins, len(text)), pa.int32())
+            columns = [pa.array(ids[i + own]), *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (key, size))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "keys", "words"])
+
+
+def _listed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists one after the other, and where each list begins."""
+    return np.asarray(column.flatten()), np.concatenate([[0], np.cumsum(np.asarray(column.value_lengths()))])
+
+
+def least_runs(words: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the runs of lines with ``min_words`` words: the shortest from and up to each line.
+
+    Every line of a block with so many words lies in one of these runs that the block holds
+    whole: the shortest from the block's start on or, behind it, the shortest up to the line.
+    """
+    sums = np.concatenate([[0], np.cumsum(words)])
+    text = owners(offsets, np.arange(len(words)))
+    start = np.arange(len(words))
+    end = np.searchsorted(sums, sums[:-1] + min_words, "left")
+    back = np.searchsorted(sums, sums[1:] - min_words, "right") - 1
+    on, up = end <= offsets[text + 1], back >= offsets[text]
+    found = np.concatenate([start[on] * (len(words) + 1) + end[on], back[up] * (len(words) + 1) + start[up] + 1])
+    return np.divmod(np.unique(found), len(words) + 1)
+
+
+def _runs(min_words: int):
+    """One row per run of a text that reaches the words of a block."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column("id"))
+            keys, offsets = _listed(batch.column("keys"))
+            words, _ = _listed(batch.column("words"))
+            for i, j in slices(offsets):
+                part = offsets[i : j + 1] - offsets[i]
+                own = slice(offsets[i], offsets[j])
+                starts, ends = least_runs(words[own], part, min_words)
+                text = owners(part, starts)
+                run_key = Rolling(mix(keys[own].view(U64))).ranges(starts, ends).view(np.int64)
+                columns = (run_key, ids[i + text], starts - part[text], ends - starts)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["run", "id", "place", "n_lines"])
+
+    return run
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -113,29 +157,25 @@ def aligned_blocks(earlier: list[int], later: list[int], words: list[int], min_w
 
 
 def _aligned(min_words: int):
-    """Rows (a, b, place_a, place_b, words) arrive sorted by b, a, place_b."""
+    """Rows (b, keys_a, keys_b, words_b): all lines that both texts of a pair have are aligned."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, rows = None, ([], [], [])
-
-        def finish(out: tuple[list, list]) -> None:
-            if pair is not None:
-                places = aligned_blocks(*rows, min_words)
-                out[0].extend([pair[1]] * len(places))
-                out[1].extend(places)
-
         for batch in batches:
+            (earlier, cuts_a), (later, cuts_b) = _listed(batch.column("keys_a")), _listed(batch.column("keys_b"))
+            words, _ = _listed(batch.column("words_b"))
             out: tuple[list, list] = ([], [])
-            for a, b, place_a, place_b, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (a, b) != pair:
-                    finish(out)
-                    pair, rows = (a, b), ([], [], [])
-                for column, value in zip(rows, (place_a, place_b, words), strict=True):
-                    column.append(value)
+            for n, b in enumerate(batch.column("b").to_pylist()):
+                own = later[cuts_b[n] : cuts_b[n + 1]]
+                _, place_a, place_b = np.intersect1d(
+                    earlier[cuts_a[n] : cuts_a[n + 1]], own, assume_unique=True, return_indices=True
+                )
+                order = np.argsort(place_b)
+                place_a, place_b = place_a[order], place_b[order]
+                size = words[cuts_b[n] : cuts_b[n + 1]][place_b]
+                places = aligned_blocks(place_a.tolist(), place_b.tolist(), size.tolist(), min_words)
+                out[0].extend([b] * len(places))
+                out[1].extend(places)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["id", "place"])
-        last: tuple[list, list] = ([], [])
-        finish(last)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in last], ["id", "place"])
 
     return run
 
@@ -170,34 +210,72 @@ def _without(output: str):
     return run
 
 
+def _removed(pairs: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
+    """(id, place): what the pairs (a, b) delete from b."""
+    # Written, so that the joins read both sides from shuffles and a document of many pairs can be split.
+    pairs = written(pairs.distinct(), "pairs")
+    later = lines.select(F.col("id").alias("b"), F.col("keys").alias("keys_b"), F.col("words").alias("words_b"))
+    earlier = lines.select(F.col("id").alias("a"), F.col("keys").alias("keys_a"))
+    both = pairs.join(later, "b").join(earlier, "a").select("b", "keys_a", "keys_b", "words_b")
+    return both.mapInArrow(_aligned(min_words), "id long, place long").distinct()
+
+
 def aligned_removals(sources: DataFrame, rare: int, min_words: int) -> DataFrame:
     """(id, places): the lines to delete per document, by their place among lines with a word."""
-    # One row per line; written, as the holders are found first and then joined with the lines.
-    lines = written(sources.mapInArrow(_keyed, "key long, id long, place long, words long"), "lines")
+    lines = written(sources.mapInArrow(_keyed, "id long, keys array<long>, words array<long>"), "lines")
+    found = lines.mapInArrow(_runs(min_words), "run long, id long, place long, n_lines long")
     shared = (
-        lines.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min(F.struct("id", "place")).alias("f"))
+        found.groupBy("run")
+        .agg(F.count("*").alias("n"), F.min("id").alias("first"))
         .filter("n > 1")
-        .select("key", F.col("f.id").alias("first"), F.col("f.place").alias("place_a"), (F.col("n") <= rare).alias("is_rare"))
+        .select("run", "first", (F.col("n") <= rare).alias("is_rare"))
     )
-    # Written, so that the join reads both sides from shuffles and a hot line can be split.
-    shared = written(shared, "shared-lines")
-    held = lines.join(shared, "key")
-    # All documents of a rare line meet: at most `rare` rows per key are gathered.
-    groups = held.filter("is_rare").groupBy("key", "words").agg(F.collect_list(F.struct("id", "place")).alias("g"))
-    pairs = groups.select("key", "words", F.explode("g").alias("x"), "g").select("words", "x", F.explode("g").alias("y"))
-    close = pairs.filter("x.id < y.id").select(
-        F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.place").alias("place_a"), F.col("y.place").alias("place_b"), "words"
-    )
-    # A frequent line meets its first document only: one row per line, no pairs among the others.
-    far = held.filter("not is_rare and id > first").select(
-        F.col("first").alias("a"), F.col("id").alias("b"), "place_a", F.col("place").alias("place_b"), "words"
-    )
-    matches = close.unionByName(far).repartition("b", "a").sortWithinPartitions("b", "a", "place_b", "place_a")
-    removed = matches.mapInArrow(_aligned(min_words), "id long, place long").distinct()
+    # Written, so that the join reads both sides from shuffles and a hot run can be split.
+    shared = written(shared, "shared-runs")
+    held = written(found.join(shared, "run"), "held-runs")
+    # All documents of a rare run meet: at most `rare` rows per key are gathered.
+    groups = held.filter("is_rare").groupBy("run").agg(F.collect_set("id").alias("g"))
+    close = groups.select("g", F.explode("g").alias("a")).select("a", F.explode("g").alias("b")).filter("a < b")
+    # A frequent run brings each document to its first one: one row per run, no pairs among the others.
+    frequent = held.filter("not is_rare and id > first")
+    far = frequent.select(F.col("first").alias("a"), F.col("id").alias("b"))
+    removed = written(_removed(close.unionByName(far), lines, min_words), "removed-lines")
+    removed = _with_later_holders(frequent.select("run", "id", "place", "n_lines"), held, removed, lines, min_words)
     return removed.groupBy("id").agg(F.collect_list("place").alias("places"))
 
 
+def _with_later_holders(frequent: DataFrame, held: DataFrame, removed: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
+    """``removed``, and what documents lose to others than the first holder of a frequent run.
+
+    With the first holder a run may be out of order, and with a later one in order. What stays
+    of such runs is tried with the second holder, the next two, the next four and so on, until it
+    has gone or there are no earlier holders. So the rounds grow with the logarithm of the holders.
+    """
+    left, holders, tried, width = frequent, None, 1, 1
+    while True:
+        # A run is tried as long as a line of it stays.
+        each = left.withColumn("line", F.explode(F.sequence("place", F.col("place") + F.col("n_lines") - 1)))
+        gone = removed.select("id", F.col("place").alias("line"))
+        staying = each.join(gone, ["id", "line"], "left_anti").select(*left.columns).distinct()
+        left = written(staying, "staying-runs")
+        if holders is None:
+            if left.isEmpty():
+                return removed
+            # Only now are the holders numbered, and only those of runs that stay somewhere.
+            wanted = left.select("run").distinct()
+            ids = held.join(wanted, "run", "left_semi").select("run", "id").distinct()
+            holders = written(positions_within(ids, "run", ["id"], "nth"), "holders")
+            left = left.join(holders, ["run", "id"])
+        left = written(left.filter(F.col("nth") > tried), "untried-runs")
+        if left.isEmpty():
+            return removed
+        some = holders.filter(F.col("nth").between(tried, tried + width - 1)).select("run", F.col("id").alias("a"))
+        pairs = left.select("run", F.col("id").alias("b")).join(some, "run").filter("a < b").select("a", "b")
+        more = _removed(pairs, lines, min_words)
+        removed = written(removed.unionByName(more).distinct(), "removed-lines")
+        tried, width = tried + width, 2 * width
+
+
 def without_aligned_lines(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -208,13 +286,17 @@ def without_aligned_lines(
 ) -> DataFrame:
     """(row, n_lines, n_removed, kept) per document; ``row`` holds the columns but the text.
 
-    Lines are compared whole; those without a word do not count. Two documents overlap if they
-    share a line that at most ``rare`` documents have, or if the earlier one is the first to
-    have a line that more documents share. The common lines of such a pair are aligned by
-    patience: the longest sequence that both have in the same order. Blocks of aligned lines
-    that follow each other in both and have ``min_words`` words or more are deleted from the
-    later document. The k-th of equal lines in a document is aligned with the k-th of another.
-    A line always stays in the first document that has it.
+    Lines are compared whole; those without a word do not count. Each document is held against
+    every earlier one. The lines that such a pair has in common are aligned by patience: the
+    longest sequence that both have in the same order. Blocks of aligned lines that follow each
+    other in both and have ``min_words`` words or more are deleted from the later document. The
+    k-th of equal lines in a document is aligned with the k-th of another. A line always stays
+    in the first document that has it.
+
+    Only pairs that share a run of lines with so many words can have a block, and only these
+    are aligned. A run that at most ``rare`` documents have brings all of them together. A more
+    frequent one brings each document to the first holder, and to later ones for as long as a
+    line of it stays.
 
     ``kept`` is the SHA-256 of the text that stays, or with ``output="text"`` its bytes. A null
     or empty text has no lines. A null id counts as one id below all others; rows that share an
