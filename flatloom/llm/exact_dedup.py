@@ -99,12 +99,14 @@ def with_digests(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents that stay; the columns stay as they are. Of rows repeated as a whole, one stays."""
+    # By the length too: an id may come again with the same text in other white space.
     dropped = decisions(docs, id_column, text_column).filter("not kept").select(
-        F.col("_id").alias("_dropped"), F.col("text_sha256").alias("_sha")
+        F.col("_id").alias("_key"), F.col("text_sha256").alias("_own"), "_chars"
     )
     # Whole rows travel in a struct, so that no name of theirs can clash.
     marked = docs.select(
-        whole_row(docs), id_key(id_column).alias("_key"), F.sha2(squeezed(text_column), 256).alias("_own")
-    )
-    left = marked.join(dropped, (F.col("_key") == F.col("_dropped")) & (F.col("_own") == F.col("_sha")), "left_anti")
+        whole_row(docs), id_key(id_column).alias("_key"), F.sha2(squeezed(text_column), 256).alias("_own"),
+        F.coalesce(F.char_length(F.col(f"`{text_column}`")), F.lit(0)).alias("_chars"),
+    )
+    left = marked.join(dropped, ["_key", "_own", "_chars"], "left_anti")
     return left.dropDuplicates(["_key", "_own"]).select("row.*")
