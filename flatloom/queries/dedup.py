@@ -132,3 +132,16 @@ def last_write_by_ordinals(spark, sf_dir):
     wide = entry_rows(explode_parents(chosen, ORDERS, ordinals=True).withColumnRenamed("part", "_part"), ORDERS, True)
     # The places in the arrays follow one another within a document; a long order goes on in another.
     return last_write_wins(wide, "album_key", ["track_key", "track_name"], ["pid", "pos", PARENT_ORD, ENTRY_ORD])
+
+
+@query(f"""
+    select sl, album_key, track_key, track_name from (
+        select *, pid // 1000 sl,
+            row_number() over (partition by pid // 1000, album_key order by pid desc, pos desc) rn from {WIDE})
+    where rn = 1""")
+def last_write_by_ordinals_in_slices(spark, sf_dir):
+    """Every slice's entries by their real places in the documents' arrays: the last of each slice stands."""
+    docs = documents(spark, sf_dir, ["pid", "part"], ["pos", "album_key", "track_key", "track_name"])
+    wide = entry_rows(explode_parents(docs, ORDERS, ordinals=True).withColumnRenamed("part", "_part"), ORDERS, True)
+    wide = wide.withColumn("sl", slice_of("pid"))
+    return last_write_wins(wide, ["sl", "album_key"], ["track_key", "track_name"], ["pid", "pos", PARENT_ORD, ENTRY_ORD])
