@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -244,6 +244,14 @@ def near_duplicates(
     """
     prints = written(fingerprints(docs, text_column, shingle_words), "fingerprints")
     key = F.coalesce(F.col(f"row.`{id_column}`").cast("long"), F.lit(NULL_ID))
+    placed, least = _components(prints, key, max_bits_apart)
+    labels = placed.join(least, "root").select("fingerprint", "component")
+    component = F.when(F.col("component") != NULL_ID, F.col("component")).alias("component_id")
+    return prints.join(labels, "fingerprint").select("row", "fingerprint", component)
+
+
+def _components(prints: DataFrame, key: Column, max_bits_apart: int) -> tuple[DataFrame, DataFrame]:
+    """(fingerprint, least, root), and per root the smallest key, as (root, component)."""
     distinct = written(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct-fingerprints")
     found = components(linked(distinct, max_bits_apart))
     placed = distinct.join(found, F.col("fingerprint") == F.col("node"), "left").select(
@@ -251,16 +259,21 @@ def near_duplicates(
     )
     # Written, so that the rows of a large component can be split in the join.
     placed = written(placed, "placed")
-    least = written(placed.groupBy("root").agg(F.min("least").alias("component")), "component-ids")
-    labels = placed.join(least, "root").select("fingerprint", "component")
-    component = F.when(F.col("component") != NULL_ID, F.col("component")).alias("component_id")
-    return prints.join(labels, "fingerprint").select("row", "fingerprint", component)
+    return placed, written(placed.groupBy("root").agg(F.min("least").alias("component")), "component-ids")
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that have the smallest id of their component; the columns stay as they are."""
-    found = near_duplicates(docs.select(id_column, text_column), id_column, text_column)
-    component = F.coalesce("component_id", F.lit(NULL_ID)).alias("_component")
-    stay = found.select(component).distinct()
-    rows = docs.select(whole_row(docs), id_key(id_column).alias("_key"))
-    return rows.join(stay, F.col("_key") == F.col("_component"), "left_semi").select("row.*")
+    """One document of each component, by the smallest id; the columns stay as they are.
+
+    Of rows that share this id, the one with the smallest SHA-256 of its text stays.
+    """
+    own = F.sha2(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), 256).alias("_own")
+    texts = docs.select(id_key(id_column).alias("_key"), own, F.col(f"`{text_column}`").alias("text"))
+    prints = written(fingerprints(texts), "fingerprints")
+    placed, _ = _components(prints, F.col("row._key"), MAX_BITS_APART)
+    # The smallest of each fingerprint first, so that a component's copies do not come together.
+    first = prints.groupBy("fingerprint").agg(F.min("row").alias("row"))
+    stay = first.join(placed, "fingerprint").groupBy("root").agg(F.min("row").alias("row")).select("row.*")
+    rows = docs.select(whole_row(docs), id_key(id_column).alias("_key"), own)
+    # What is left of one id and text are repeated rows.
+    return rows.join(written(stay, "staying"), ["_key", "_own"], "left_semi").dropDuplicates(["_key", "_own"]).select("row.*")
