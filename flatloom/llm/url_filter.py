@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html as html_text
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +38,8 @@ RULES = (
 
 # Everything up to the first "://", the host, the path; then query and fragment.
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_REST = r"(?s)^.*?://[^/?#]*([^#]*)"
+_QUERY = r"(?s)^.*?://[^?#]*(\?[^#]*)"
+_DOTS = r"/\.\.?(/|$)"
 _CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 _REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 _HREF = r"""(?is)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
@@ -58,9 +60,25 @@ def path_of(url: Column) -> Column:
     return _or_empty(F.regexp_extract(url, _PARTS, 2))
 
 
+def asked_path(url: Column) -> Column:
+    """The path as a server is asked for it: without ``.`` and ``..`` segments, ``/`` if it is empty."""
+    path = path_of(url)
+    segments = F.split(F.substring(path, 2, 1 << 30), "/")
+    left = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda found, x: F.when(x == "..", F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0))))
+        .when(x == ".", found)
+        .otherwise(F.concat(found, F.array(x))),
+    )
+    ended = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(left, F.array(F.lit("")))).otherwise(left)
+    joined = F.concat(F.lit("/"), F.array_join(ended, "/"))
+    return F.when(path == "", F.lit("/")).when(F.regexp_like(path, F.lit(_DOTS)), joined).otherwise(path)
+
+
 def address_of(url: Column) -> Column:
     """What a server is asked for: host, path and query, whatever the scheme and the fragment."""
-    whole = F.concat(host_of(url), F.regexp_extract(url, _REST, 1))
+    whole = F.concat(host_of(url), asked_path(url), F.regexp_extract(url, _QUERY, 1))
     return F.when(F.contains(url, F.lit("://")), whole)
 
 
@@ -99,6 +117,8 @@ def page_links(pages: DataFrame, url_column: str = "url", html_column: str = "ht
     text = F.lower(html)
     tagged = pages.filter(F.contains(text, F.lit("canonical")) | F.contains(text, F.lit("http-equiv")))
     found = tagged.select(url.alias("url"), F.explode(targets).alias("target")).filter("target != ''")
+    # Both tags are rare, and so are their targets: Python knows all entities.
+    found = found.withColumn("target", F.udf(html_text.unescape, "string")("target"))
     target = F.col("target")
     scheme, site = F.regexp_extract("url", r"(?s)^(.*?)://", 1), F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
@@ -125,7 +145,7 @@ def judged_urls(
     target), over any number of steps. If any alias is explicitly allowed, the page is allowed;
     else if any is blocked, it is blocked; with no decision among them it is allowed.
 
-    Addresses are compared without scheme and fragment. A null url or one without ``://`` has an
+    Addresses are compared without scheme, fragment and dot segments; an empty path counts as ``/``. A null url or one without ``://`` has an
     empty host and path, no rule and no aliases; a null html has no links. Repeated rows are
     judged alike, other columns are kept inside ``row``, and no rows give no rows.
     """
@@ -143,7 +163,7 @@ def judged_urls(
     ends = links.select("url").unionByName(links.select(F.col("target").alias("url")))
     aliases = components(links.select(address_of(F.col("url")).alias("a"), address_of(F.col("target")).alias("b")))
     # A decision of each address that has a link; the path without its query is what rules see.
-    own = _verdict(matched_rule(host_of(F.col("url")), path_of(F.col("url")), rules), rules)
+    own = _verdict(matched_rule(host_of(F.col("url")), asked_path(F.col("url")), rules), rules)
     decided = ends.select(address_of(F.col("url")).alias("node"), own.alias("v")).filter("v is not null").distinct()
     placed = written(aliases, "aliases")
     by_root = (
