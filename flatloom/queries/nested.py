@@ -167,10 +167,11 @@ def quarantine_split(spark, sf_dir):
 def several_documents_rejected(spark, sf_dir):
     """Files with a second document, or with text after the first, next to files with one.
 
-    Every order is a file of its own; its other fields stand before the array of parents.
+    Every part of an order is a file of its own, which bounds it as the staged documents are; its
+    other fields stand before the array of parents. The parts count as one file of the order.
     """
     parents = explode_parents(documents(spark, sf_dir), ORDERS).select(*ORDERS.parent_schema.fieldNames())
-    whole = parents.groupBy("pid").agg(F.collect_list(F.struct(*parents.columns)).alias(ORDERS.parents))
+    whole = parents.select("pid", F.array(F.struct(*parents.columns)).alias(ORDERS.parents))
     status = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pid"), "o_orderstatus")
     one = F.to_json(F.struct(F.struct(F.col("pid").alias("version")).alias("info"), ORDERS.parents))
     text = (
@@ -183,5 +184,6 @@ def several_documents_rejected(spark, sf_dir):
     n = F.aggregate(
         F.coalesce(F.col(ORDERS.parents), F.array()), F.lit(0), lambda a, p: a + F.coalesce(F.size(p["tracks"]), F.lit(0))
     )
-    found = quarantined(files, ORDERS).select(outcome, n.cast("long").alias("n"))
-    return found.groupBy("outcome").agg(F.count("*").alias("files"), F.sum("n").alias("entries"))
+    found = quarantined(files, ORDERS).select(outcome, SOURCE, n.cast("long").alias("n"))
+    orders = found.groupBy("outcome", SOURCE).agg(F.sum("n").alias("n"))
+    return orders.groupBy("outcome").agg(F.count("*").alias("files"), F.sum("n").alias("entries"))
