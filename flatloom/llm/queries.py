@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatloom.llm import sql
+from flatloom.llm.centroids import clustered
 from flatloom.llm.exact_dedup import with_digests
 from flatloom.llm.language_model import scored
 from flatloom.llm.line_dedup import without_aligned_lines
@@ -128,3 +129,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text scored by the base and by the mixed model."""
     return scored(_documents(spark, sf_dir))
+
+
+@query(sql.CENTROIDS)
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its cluster after five rounds."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    found = clustered(vectors)
+    return found.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -134,3 +134,42 @@ URLS = rf"""
     select page_id, host, path, {_rule_case("host", "path", RULES, "name")} rule,
         coalesce({_rule_case("host", "path", RULES, "verdict")}, v, 'allow') verdict
     from p left join inherited on inherited.node = p.address"""
+
+
+def _centroids(rounds: int, k: int, dimensions: int, scale: int) -> str:
+    """Each round as a table of its own: assigned, then the floors of the means."""
+    steps = [
+        f"""
+    kept as materialized (
+        select vec_id, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) v from embeddings
+        where len(embedding) = {dimensions} and len(list_filter(embedding, lambda x: isfinite(x))) = {dimensions}),
+    values_of as materialized (select vec_id, unnest(v) x, generate_subscripts(v, 1) d from kept),
+    c0 as materialized (
+        select row_number() over (order by sha256('2:' || vec_id), v) - 1 cluster, v
+        from kept order by sha256('2:' || vec_id), v limit {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""
+    a{i} as materialized (
+        select vec_id, cluster, s from (
+            select vec_id, cluster, s, row_number() over (partition by vec_id order by s, cluster) r from (
+                select kept.vec_id, c.cluster, list_sum(list_transform(
+                    list_zip(kept.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint s
+                from kept cross join c{i} c))
+        where r = 1)""")
+        if i < rounds:
+            steps.append(f"""
+    m{i} as materialized (
+        select cluster, list((t - ((t % n) + n) % n) // n order by d) v from (
+            select cluster, d, sum(x)::bigint t, count(*) n from a{i} join values_of using (vec_id) group by 1, 2)
+        group by 1),
+    c{i + 1} as materialized (
+        select c{i}.cluster, coalesce(m{i}.v, c{i}.v) v from c{i} left join m{i} using (cluster))""")
+    return f"""
+    with {",".join(steps)}
+    select vec_id, cluster::int cluster, s distance, (sum(s) over (partition by cluster))::bigint cluster_inertia,
+        (sum(s) over ())::bigint inertia, sha256(array_to_string(v, ',')) centroid_sha256
+    from a{rounds} join c{rounds} using (cluster)"""
+
+
+CENTROIDS = _centroids(rounds=5, k=40, dimensions=64, scale=256)
