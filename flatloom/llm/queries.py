@@ -14,6 +14,7 @@ from flatloom.llm.exact_dedup import with_digests
 from flatloom.llm.language_model import scored
 from flatloom.llm.line_dedup import without_aligned_lines
 from flatloom.llm.packing import packed
+from flatloom.llm.prefix_trie import prefix_nodes
 from flatloom.llm.quality import judged
 from flatloom.llm.sentence_pieces import encoded
 from flatloom.llm.shipping import ship
@@ -137,3 +138,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     found = clustered(vectors)
     return found.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query(sql.PREFIXES)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations, with its members, children, leaves and savings."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_nodes(conversations.select("conv_id", "turn", "role", "text"))

@@ -173,3 +173,37 @@ def _centroids(rounds: int, k: int, dimensions: int, scale: int) -> str:
 
 
 CENTROIDS = _centroids(rounds=5, k=40, dimensions=64, scale=256)
+
+# The CRC-32 is computed bit by bit, for want of a function: a fold over the digits of the id.
+_CRC = """xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda i: 0::bigint)),
+                lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))))"""
+
+PREFIXES = f"""
+    with t as materialized (
+        select conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} x,
+            row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 pos
+        from conversations),
+    c as materialized (
+        select conv_id, conv_id - conv_id % 20 base, list(x order by pos) own, ({_CRC} % 4)::bigint h from t group by conv_id),
+    r as materialized (
+        select c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) path from c left join c b on b.conv_id = c.base),
+    p as materialized (
+        select conv_id, path[1:d] prefix, d depth, d = len(path) ended
+        from (select conv_id, path, unnest(range(len(path) + 1)) d from r)),
+    n as materialized (
+        select prefix, depth, min(conv_id) conv_id, count(*) n_convs,
+            coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '') ends,
+            case when depth > 0 then len(regexp_extract_all(prefix[-1].text, '{_WORD}')) else 0 end words
+        from p group by 1, 2),
+    k as materialized (
+        select n.prefix, n.depth, any_value(up.conv_id) parent_conv_id from n left join n up
+            on up.depth = n.depth - 1 and up.prefix = n.prefix[1:n.depth - 1] group by 1, 2),
+    s as materialized (
+        select up.prefix, up.depth, count(*) filter (n.depth = up.depth + 1) n_children,
+            sum((n.n_convs - 1) * n.words)::bigint saved_tokens,
+            count(*) filter (not exists (select 1 from n x where x.depth = n.depth + 1 and x.prefix[1:n.depth] = n.prefix)) n_leaves
+        from n up join n on n.depth >= up.depth and n.prefix[1:up.depth] = up.prefix group by 1, 2)
+    select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) ends_sha256
+    from n join k using (prefix, depth) join s using (prefix, depth)"""
