@@ -30,6 +30,8 @@ def is_vector(column: Column, dimensions: int = DIMENSIONS) -> Column:
 
 def _integers(column: pa.Array, dimensions: int, scale: int) -> np.ndarray:
     """The vectors of a batch as rows of integers, ``floor(scale * x)``."""
+    if not len(column):
+        return np.zeros((0, dimensions), np.int64)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     values = np.floor(scale * flat)
     if len(values) and np.abs(values).max() > LARGEST:
@@ -109,8 +111,7 @@ def first_centroids(kept: DataFrame, id_column: str, k: int, scale: int) -> np.n
     """The integer vectors of the ``k`` rows whose ids come first by hash."""
     key = F.sha2(F.concat(F.lit("2:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
     rows = kept.select(F.col("row")[id_column].alias("id"), "vector").orderBy(key, "vector").limit(k).collect()
-    flat = np.array([r["vector"] for r in rows], np.float64)
-    return np.floor(scale * flat).astype(np.int64)
+    return _integers(pa.array([r["vector"] for r in rows], pa.list_(pa.float64())), len(rows[0]["vector"]) if rows else 0, scale)
 
 
 def moved(centroids: np.ndarray, sums: list) -> np.ndarray:

@@ -14,6 +14,7 @@ from flatloom.llm.exact_dedup import with_digests
 from flatloom.llm.language_model import scored
 from flatloom.llm.line_dedup import without_aligned_lines
 from flatloom.llm.packing import packed
+from flatloom.llm.personal_data import KINDS, number_of, personal_data
 from flatloom.llm.prefix_trie import prefix_nodes
 from flatloom.llm.quality import judged
 from flatloom.llm.sentence_pieces import encoded
@@ -145,3 +146,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct prefix of the rebuilt conversations, with its members, children, leaves and savings."""
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return prefix_nodes(conversations.select("conv_id", "turn", "role", "text"))
+
+
+@query()
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's entities of the fixed patterns, and these with what contexts give away."""
+    found = personal_data(_documents(spark, sf_dir))
+    counts = [number_of(k).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    digest = F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256")
+    return found.select("row.doc_id", *counts, digest, F.col("spans_text").alias("spans"))
