@@ -29,10 +29,11 @@ PATTERN_MIN, MIN_KNOWN = 800, 3
 # An unseen slot text is taken if its best pattern's share, times the share of its patterns that count, reaches this.
 INSTANCE_MIN = 400
 ROUNDS = 3
-# Bits of the filter for patterns that are worth counting; a fixed size, whatever the number of patterns.
-FILTER_BITS = 1 << 25
+# Bits of the filter for each class of patterns that are worth counting; a fixed size, whatever the number of patterns.
+FILTER_BITS = 1 << 23
 
 _BITMAP_BITS = 32768
+_CLASSES = 16
 _EDGES = b"\"'`()[]{}<>,;:.!?"
 _DOMAIN = re.compile(rb"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 # A match never begins inside a run of digits: where the whole run does not fit, no part of it does.
@@ -181,39 +182,64 @@ def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _other_fillers(bits: bytes) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(pattern, filler) of words that are no slot, at the patterns that the filter lets through."""
+def _other_fillers(classes: dict[int, bytes]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(pattern, filler) of words that are no slot, at the patterns that the filter lets through.
+
+    Of a pattern of class ``c`` a batch gives ``_enough(c)`` distinct fillers at most: with so many
+    the pattern cannot reach ``PATTERN_MIN`` any more, whatever else it holds.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed = np.frombuffer(bits, np.uint8)
+        filters = [(np.frombuffer(bits, np.uint8), _enough(c)) for c, bits in sorted(classes.items())]
         for batch in batches:
             data, offsets = text_buffer(batch.column(0))
+            found: list[tuple[np.ndarray, ...]] = []
             for i, j in slices(offsets):
                 known = _Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 plain = np.flatnonzero(~known.marked)
-                found = []
                 for pattern in known.patterns(plain, plain):
                     place = pattern.view(U64) % U64(FILTER_BITS)
-                    hit = (passed[place >> U64(3)] >> (place & U64(7)).astype(np.uint8)) & 1 == 1
-                    found.append(np.stack([pattern[hit], known.hashes[plain[hit]].view(np.int64)]))
-                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-                if pairs.shape[1]:
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["pattern", "filler"])
+                    most = np.zeros(len(plain), np.int64)
+                    for bits, enough in filters:
+                        hit = (bits[place >> U64(3)] >> (place & U64(7)).astype(np.uint8)) & 1 == 1
+                        most[hit] = enough
+                    hit = most > 0
+                    found.append((pattern[hit], known.hashes[plain[hit]].view(np.int64), most[hit]))
+            if not found:
+                continue
+            pattern, filler, most = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((filler, pattern))
+            pattern, filler, most = pattern[order], filler[order], most[order]
+            new = np.ones(len(pattern), bool)
+            new[1:] = (pattern[1:] != pattern[:-1]) | (filler[1:] != filler[:-1])
+            pattern, filler, most = pattern[new], filler[new], most[new]
+            keep = np.arange(len(pattern)) - np.searchsorted(pattern, pattern) < most
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(pattern[keep]), pa.array(filler[keep])], ["pattern", "filler"])
 
     return run
 
 
-def _filter(patterns: DataFrame) -> bytes:
-    """A bit for each pattern, by its hash; of ``FILTER_BITS`` bits, put together by Spark."""
+def _enough(size_class: int) -> int:
+    """More than a quarter of the slots of any pattern of this class; no bound for the last class."""
+    return MIN_KNOWN * 4**size_class + 1 if size_class < _CLASSES - 1 else 1 << 62
+
+
+def _filter(patterns: DataFrame) -> dict[int, bytes]:
+    """For each class of patterns by their number of slots, a bit for each pattern by its hash.
+
+    Class ``c`` has ``MIN_KNOWN * 4**c`` slots and up. Every class has ``FILTER_BITS`` bits, put together by Spark.
+    """
     place = F.pmod(F.col("pattern"), F.lit(FILTER_BITS))
-    parts = patterns.groupBy(F.floor(place / _BITMAP_BITS).alias("part")).agg(
+    bounds = [F.when(F.col("n_slots") >= MIN_KNOWN * 4**c, F.lit(c)) for c in reversed(range(_CLASSES))]
+    parts = patterns.groupBy(F.coalesce(*bounds).alias("class"), F.floor(place / _BITMAP_BITS).alias("part")).agg(
         F.bitmap_construct_agg(place % _BITMAP_BITS).alias("bits")
     )
-    out = bytearray(FILTER_BITS // 8)
-    for r in parts.collect():  # at most FILTER_BITS / 32768 rows of 4 KB
+    out: dict[int, bytearray] = {}
+    for r in parts.collect():  # at most _CLASSES * FILTER_BITS / 32768 rows of 4 KB
         at = r["part"] * (_BITMAP_BITS // 8)
-        out[at : at + _BITMAP_BITS // 8] = r["bits"]
-    return bytes(out)
+        out.setdefault(r["class"], bytearray(FILTER_BITS // 8))[at : at + _BITMAP_BITS // 8] = r["bits"]
+    return {c: bytes(bits) for c, bits in out.items()}
 
 
 def _known_instances(slots: DataFrame, texts: DataFrame, rounds: int) -> DataFrame:
@@ -222,7 +248,7 @@ def _known_instances(slots: DataFrame, texts: DataFrame, rounds: int) -> DataFra
     The graph's edges join patterns to the slot texts they hold. In each round a pattern is scored
     by the share of its distinct fillers that are known to be of a kind, words that are no slot
     included; slot texts are scored by their best pattern and the share of their patterns that
-    count, and become known. Scores are whole thousandths, so that no order of adding matters.
+    count, and become known. Other fillers are counted exactly as long as the pattern can still count. Scores are whole thousandths, so that no order of adding matters.
     """
     both = slots.select("instance", "kinds", F.explode(F.array("before", "around")).alias("pattern"))
     edges = written(both.groupBy("pattern", "instance").agg(F.bit_or("kinds").alias("kinds")), "edges")
