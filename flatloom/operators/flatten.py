@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,11 @@ def explode_parents(docs: DataFrame, model: DocumentModel, ordinals: bool = Fals
     return numbered.select(*kept, PARENT_ORD, "_p.*")
 
 
-def parent_rows(parents: DataFrame, model: DocumentModel) -> DataFrame:
-    """The parent table: typed scalars, one row per parent, also for parents without entries."""
+def parent_rows(parents: DataFrame, model: DocumentModel, keep: Sequence[str] = ()) -> DataFrame:
+    """The parent table: typed scalars, one row per parent, also for parents without entries.
+
+    ``keep`` names bookkeeping columns that stay.
+    """
     if model.part and model.part in parents.columns:
         parents = parents.filter(F.coalesce(F.col(model.part), F.lit(0)) == 0)
 
@@ -34,7 +39,7 @@ def parent_rows(parents: DataFrame, model: DocumentModel) -> DataFrame:
             return epoch_to_timestamp(F.col(name)).alias(name)
         return F.col(name)
 
-    return parents.select(*[typed(c) for c in model.parent_columns if c in parents.columns])
+    return parents.select(*[typed(c) for c in model.parent_columns if c in parents.columns], *keep)
 
 
 def entry_rows(
