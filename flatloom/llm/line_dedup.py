@@ -7,11 +7,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from flatloom.llm.text import (
+    NULL_ID,
     SPACE,
     U64,
     Rolling,
@@ -65,14 +66,13 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per text with a line: the keys of its lines in order, and their words."""
     for batch in batches:
-        ids = np.asarray(batch.column(0))
         data, offsets = text_buffer(batch.column(1))
         for i, j in slices(offsets):
             part = offsets[i : j + 1]
             _, _, text, _, key, size = _lines(data[part[0] : part[-1]], part - part[0])
             own, begins = np.unique(text, return_index=True)
             cuts = pa.array(np.append(begins, len(text)), pa.int32())
-            columns = [pa.array(ids[i + own]), *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (key, size))]
+            columns = [batch.column(0).take(pa.array(i + own)), *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (key, size))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "keys", "words"])
 
 
@@ -102,7 +102,6 @@ def _runs(min_words: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column("id"))
             keys, offsets = _listed(batch.column("keys"))
             words, _ = _listed(batch.column("words"))
             for i, j in slices(offsets):
@@ -111,8 +110,9 @@ def _runs(min_words: int):
                 starts, ends = least_runs(words[own], part, min_words)
                 text = owners(part, starts)
                 run_key = Rolling(mix(keys[own].view(U64))).ranges(starts, ends).view(np.int64)
-                columns = (run_key, ids[i + text], starts - part[text], ends - starts)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["run", "id", "place", "n_lines"])
+                ids = batch.column("id").take(pa.array(i + text))
+                columns = [pa.array(run_key), ids, pa.array(starts - part[text]), pa.array(ends - starts)]
+                yield pa.RecordBatch.from_arrays(columns, ["run", "id", "place", "n_lines"])
 
     return run
 
@@ -175,7 +175,7 @@ def _aligned(min_words: int):
                 places = aligned_blocks(place_a.tolist(), place_b.tolist(), size.tolist(), min_words)
                 out[0].extend([b] * len(places))
                 out[1].extend(places)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64())], ["id", "place"])
 
     return run
 
@@ -217,13 +217,13 @@ def _removed(pairs: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
     later = lines.select(F.col("id").alias("b"), F.col("keys").alias("keys_b"), F.col("words").alias("words_b"))
     earlier = lines.select(F.col("id").alias("a"), F.col("keys").alias("keys_a"))
     both = pairs.join(later, "b").join(earlier, "a").select("b", "keys_a", "keys_b", "words_b")
-    return both.mapInArrow(_aligned(min_words), "id long, place long").distinct()
+    return both.mapInArrow(_aligned(min_words), "id binary, place long").distinct()
 
 
 def aligned_removals(sources: DataFrame, rare: int, min_words: int) -> DataFrame:
     """(id, places): the lines to delete per document, by their place among lines with a word."""
-    lines = written(sources.mapInArrow(_keyed, "id long, keys array<long>, words array<long>"), "lines")
-    found = lines.mapInArrow(_runs(min_words), "run long, id long, place long, n_lines long")
+    lines = written(sources.mapInArrow(_keyed, "id binary, keys array<long>, words array<long>"), "lines")
+    found = lines.mapInArrow(_runs(min_words), "run long, id binary, place long, n_lines long")
     shared = (
         found.groupBy("run")
         .agg(F.count("*").alias("n"), F.min("id").alias("first"))
@@ -276,6 +276,13 @@ def _with_later_holders(frequent: DataFrame, held: DataFrame, removed: DataFrame
         tried, width = tried + width, 2 * width
 
 
+def _document(id_column: str, text_column: str) -> Column:
+    """``id``: 16 bytes in the order of the ids, then of a hash of the text, so that rows that share an id are told apart."""
+    above_zero = id_key(id_column).bitwiseXOR(F.lit(NULL_ID))
+    content = F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
+    return F.unhex(F.concat(*(F.lpad(F.hex(x), 16, "0") for x in (above_zero, content)))).alias("id")
+
+
 def without_aligned_lines(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -299,14 +306,14 @@ def without_aligned_lines(
     line of it stays.
 
     ``kept`` is the SHA-256 of the text that stays, or with ``output="text"`` its bytes. A null
-    or empty text has no lines. A null id counts as one id below all others; rows that share an
-    id are no pair, and what is deleted for the id is deleted in each of them. No rows give no
-    rows.
+    or empty text has no lines. A null id counts as an id below all others. Rows that share an id
+    are documents of their own, in the order of a hash of their texts; rows equal in both are
+    no pair, and what is deleted from one is deleted from each. No rows give no rows.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("row")
-    sources = docs.select(id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
+    sources = docs.select(_document(id_column, text_column), F.col(f"`{text_column}`").alias("text"))
     removals = written(aligned_removals(sources, rare, min_words), "removals")
-    whole = compressed(docs.select(row, id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text")))
+    whole = compressed(docs.select(row, _document(id_column, text_column), F.col(f"`{text_column}`").alias("text")))
     # The removals grow with the documents, so the join is the same for few of them as for many.
     joined = whole.join(removals.hint("merge"), "id", "left").select("row", "text", "places")
     kept = StringType() if output == "digest" else BinaryType()

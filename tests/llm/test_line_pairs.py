@@ -5,6 +5,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
+import xxhash
 
 from flatloom.llm import line_dedup
 
@@ -73,3 +74,74 @@ def test_random_lines(frame, rare):
     pool = [" ".join(f"w{n}" for _ in range(int(rng.integers(1, 7)))) for n in range(14)]
     docs = [(int(i), "\n".join(pool[n] for n in rng.integers(0, 14, rng.integers(0, 12)))) for i in rng.permutation(60)]
     assert removed(frame, docs, rare=rare) == every_pair(docs)
+
+
+def kept_texts(docs, min_words=8):
+    """What stays of every row, aligned by comparing all increasing sequences' lengths; rows in any order."""
+    def order(row):
+        return (-(2**63) if row[0] is None else row[0], xxhash.xxh64_intdigest((row[1] or "").encode(), seed=42))
+
+    rows = sorted(set(docs), key=order)
+    out = {}
+    for n, (i, text) in enumerate(rows):
+        lines, gone = own_lines(text), set()
+        for _, other in rows[:n]:
+            place = {key: at for at, key in enumerate(own_lines(other))}
+            common = [(place[k], at, len(brute.words(k[0]))) for at, k in enumerate(lines) if k in place]
+            if common:
+                best = [1] * len(common)
+                for y in range(len(common)):
+                    best[y] += max((best[x] for x in range(y) if common[x][0] < common[y][0]), default=0)
+                gone_here = line_dedup.aligned_blocks(*map(list, zip(*common, strict=True)), min_words)
+                assert len(line_dedup.longest_increasing([c[0] for c in common])) == max(best)
+                gone |= set(gone_here)
+        kept, at = [], 0
+        for x in (text or "").split("\n"):
+            if brute.words(x):
+                if at not in gone:
+                    kept.append(x + "\n")
+                at += 1
+            else:
+                kept.append(x + "\n")
+        joined = "".join(kept)
+        # The line feed after the last line exists only if that line is there and had one.
+        whole = (text or "") + "\n"
+        out[i, text] = joined[:-1] if joined and whole.endswith(kept[-1]) and (at == 0 or at - 1 not in gone or not brute.words((text or "").split("\n")[-1])) else joined
+    return Counter((i, out[i, t]) for i, t in docs)
+
+
+def kept_rows(frame, docs):
+    found = line_dedup.without_aligned_lines(frame(docs), output="text").select("row.doc_id", "kept").collect()
+    return Counter((r.doc_id, bytes(r.kept).decode()) for r in found)
+
+
+OWN = [f"a line of its own number {i}" for i in range(12)]
+BLOCK = f"{L1}\n{L2}"
+REPEATED = [
+    # A row that shares the id of one that loses a block, and rows after it.
+    [(1, BLOCK), (5, "\n".join([*OWN[:6], BLOCK])), (5, "just this line"), (6, "\n".join(OWN))],
+    [(1, BLOCK), (6, "\n".join(OWN)), (5, "\n".join([*OWN[:6], BLOCK])), (5, "just this line")],
+    [(1, BLOCK), (5, "\n".join([*OWN[:6], BLOCK])), (5, "\n".join(f"another line number {i}" for i in range(12)))],
+    # Rows of one id share a block; rows repeated as a whole; ids that are null.
+    [(5, f"x\n{BLOCK}\ny"), (5, f"{BLOCK}\nz"), (5, f"{BLOCK}\nz"), (None, "p\nq"), (None, BLOCK), (None, f"r\n{BLOCK}"), (0, f"{BLOCK}\nend")],
+]
+
+
+@pytest.mark.parametrize("docs", REPEATED)
+def test_repeated_and_null_ids_by_value(frame, docs):
+    # In one partition, so that rows stand behind each other in one batch.
+    assert kept_rows(lambda rows: frame(rows).coalesce(1), docs) == kept_texts(docs)
+
+
+def test_unique_lines_stay_with_repeated_ids(frame):
+    for docs in REPEATED[:3]:
+        left = kept_rows(frame, docs)
+        lines = Counter(x for (_, text), n in left.items() for x in text.split("\n") * n)
+        assert all(lines[x] >= 1 for _, text in docs for x in text.split("\n"))
+
+
+def test_many_null_ids(frame):
+    docs = [(None, f"{BLOCK}\nown {i}" if i % 2 else f"own {i}") for i in range(200)]
+    left = kept_rows(frame, docs)
+    assert left == kept_texts(docs)
+    assert sum(BLOCK in text for _, text in left.elements()) == 1
