@@ -75,3 +75,21 @@ def test_median_of_intervals(spark):
     df = spark.sql("select g, make_dt_interval(0, 0, 0, v) v from values ('a', 1), ('a', 2), ('a', 9), ('b', 4), ('b', 7) t(g, v)")
     built_in = df.groupBy("g").agg(F.median("v").alias("median"))
     assert rows(median_by(df, "g", "v")) == rows(built_in)
+
+
+def test_medians_whatever_the_sketch_says(spark, hot_rows, monkeypatch):
+    """Brackets that miss the middle, and groups that are cut until they fit, give the same medians."""
+    from flatloom.operators import medians
+
+    data = [(k, float("nan") if k == 5 and i % 4 else float((i * 7919) % 1009)) for k in range(4, 8) for i in range(900 + k)]
+    df = spark.createDataFrame([*data, *((9, float(i % 2)) for i in range(40)), (None, 1.0)], "key int, v double")
+    built_in = rows(df.groupBy("key").agg(F.median("v").alias("median")).select("key", "median").withColumn("median", F.col("median").cast("string")))
+    monkeypatch.setattr(medians, "RANKED", 3)
+    monkeypatch.setattr(medians, "SPLITS", 4)
+    for bracket in (0.01, 0.4, 0.0):
+        monkeypatch.setattr(medians, "BRACKET", bracket)
+        assert rows(median_by(df, "key", "v").withColumn("median", F.col("median").cast("string"))) == built_in
+    # A sketch that is far off: the bracket lies at the top.
+    monkeypatch.setattr(medians, "_brackets", lambda valued: valued.groupBy(F.col("_group").alias("_g")).agg(
+        F.count("*").alias("_total"), F.max("_number").alias("_from"), F.max("_number").alias("_to")))
+    assert rows(median_by(df, "key", "v").withColumn("median", F.col("median").cast("string"))) == built_in
