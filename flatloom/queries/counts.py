@@ -11,6 +11,7 @@ from flatloom.operators.counts import (
     parents_containing,
     table_counts as count_tables,
 )
+from flatloom.operators.hitters import heavy_hitters
 from flatloom.operators.medians import median_by
 from flatloom.queries.nested import entries, entries_from_text
 from flatloom.queries.registry import WIDE, query
@@ -86,3 +87,20 @@ def median_with_null_group(spark, sf_dir):
     """NULL is a group like any other."""
     flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
     return median_by(table(spark, sf_dir, "lineitem").select(flag, "l_extendedprice"), "flag", "l_extendedprice", "med")
+
+
+@query("select l_partkey, count(*) n from lineitem group by 1 order by n desc, l_partkey limit 25")
+def heavy_hitters_flat(spark, sf_dir):
+    """The most repeated parts by bounded counts of buckets; parts repeat about equally often."""
+    return heavy_hitters(table(spark, sf_dir, "lineitem"), "l_partkey", 25)
+
+
+@query("""
+    select "key", flag, count(*) n from (
+        select case when l_linenumber <= 2 then l_suppkey % 13 else 1000 + l_orderkey end "key", l_returnflag flag from lineitem)
+    group by 1, 2 order by n desc, "key", flag limit 25""")
+def heavy_hitters_skewed(spark, sf_dir):
+    """A few keys of two columns hold a third of the rows; only their buckets are counted key by key."""
+    key = F.when(F.col("l_linenumber") <= 2, F.col("l_suppkey") % 13).otherwise(1000 + F.col("l_orderkey"))
+    rows = table(spark, sf_dir, "lineitem").select(key.alias("key"), F.col("l_returnflag").alias("flag"))
+    return heavy_hitters(rows, ["key", "flag"], 25)
