@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
-from flatloom.operators.dedup import smallest_row
 from flatloom.plans.incremental import BATCH, Store, load_batch
 
 
@@ -29,6 +28,29 @@ def ingest(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+# What the state of a seen set is kept in: RocksDB on the executors' disks, checkpointed by its changes.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings that a query takes over when it starts; the session has its own again afterwards."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def emit_new_keys(
     rows: DataFrame,
     key: str | Sequence[str],
@@ -38,23 +60,24 @@ def emit_new_keys(
 ) -> StreamingQuery:
     """Write each key when it is first seen, with a row that brought it: the smallest of its batch.
 
-    What has been written is what has been seen: each batch first shrinks to one row per key,
-    with a partial step, so that a hot key does not gather its copies in one task, and is then
-    compared with the keys of the other batches. No state is kept beside the output. A batch
-    writes its own folder and replaces it when it runs again.
+    The state has one row per key: the batch that brought it, by its time, and the row. A batch
+    shrinks to one row per key before its shuffle, so a hot key does not gather its copies in one
+    task; it then looks up its own keys, and what it checkpoints are their changes. So neither grows
+    with the keys seen before. A key is new if no earlier batch has touched it. A batch writes its
+    own folder and replaces it when it runs again; its time is in the checkpoint, so it then
+    decides the same. Batches of one checkpoint form one run: what is seen is in its state.
     """
     names = [key] if isinstance(key, str) else list(key)
     attrs = [c for c in rows.columns if c not in names]
-    stored = StructType([*rows.schema.fields, StructField(BATCH, LongType())])
-
-    def one_batch(batch_rows: DataFrame, batch_id: int) -> None:
-        fresh = smallest_row(batch_rows, names, attrs)
-        if batch_id > 0:
-            spark = batch_rows.sparkSession
-            known = spark.read.schema(stored).option("basePath", out).parquet(out).filter(F.col(BATCH) < batch_id)
-            on = [fresh[n].eqNullSafe(known[n]) for n in names]
-            fresh = fresh.join(known.select(*names), on, "left_anti")
-        fresh.select(*rows.columns).write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
-
-    writer = rows.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    arrived = F.current_timestamp().alias("_at")
+    first = F.min(F.struct("_at", *attrs)).alias("_first")
+    seen = rows.select(*names, *attrs, arrived).groupBy(*names).agg(first, F.max("_at").alias("_last"))
+
+    def one_batch(touched: DataFrame, batch_id: int) -> None:
+        fresh = touched.filter(F.col("_first._at") == F.col("_last"))
+        found = fresh.select(*names, *(F.col(f"_first.`{a}`").alias(a) for a in attrs)).select(*rows.columns)
+        found.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
+
+    writer = seen.writeStream.outputMode("update").foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+    with _settings(rows.sparkSession, _STATE):
+        return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -1,5 +1,7 @@
 """Batches, redelivery, lost batches and streams."""
 
+import json
+import os
 import shutil
 from pathlib import Path
 
@@ -210,6 +212,32 @@ def test_stream_of_new_keys(spark, folder, tmp_path):
     assert run() == [("tr:a",), ("tr:b",), ("tr:c",), ("tr:d",)]
 
 
+def test_a_seen_set_reads_and_writes_what_a_batch_has(spark, tmp_path):
+    """Every batch has as many keys, a third known; what it looks up and keeps does not grow with the run."""
+    out, folder, n_batches = str(tmp_path / "keys"), tmp_path / "in", 8
+    for batch in range(n_batches):
+        keys = [*range(300 * batch, 300 * batch + 200), *range(100)] if batch else range(300)
+        text = "\n".join(f'{{"k": {k}, "v": "{v}"}}' for k in keys for v in (f"b{batch}", f"a{batch}"))
+        folder.mkdir(exist_ok=True)
+        (folder / f"{batch}.json").write_text(text + '\n{"v": "none"}\n')
+        stamp = 1_700_000_000 + batch
+        os.utime(folder / f"{batch}.json", (stamp, stamp))
+    stream = spark.readStream.schema("k long, v string").option("maxFilesPerTrigger", 1).json(str(folder))
+    query = emit_new_keys(stream, "k", out, str(tmp_path / "state"))
+    query.awaitTermination()
+    found = rows(spark.read.schema("k long, v string").parquet(out), "k", "v")
+    # The smallest row of the first batch that had the key; NULL is a key.
+    expected = {k: "a0" for k in range(300)} | {k: f"a{b}" for b in range(1, n_batches) for k in range(300 * b, 300 * b + 200)}
+    assert dict(found) == expected | {None: "none"} and len(found) == len(expected) + 1
+    states = [p["stateOperators"][0] for p in map(json.loads, (p.json for p in query.recentProgress)) if p["stateOperators"]]
+    touched = [s["numRowsUpdated"] for s in states if s["numRowsUpdated"]]
+    assert touched == [301] * n_batches
+    assert states[-1]["numRowsTotal"] == len(found)
+    assert "rocksdbGetCount" in states[-1]["customMetrics"]
+    lookups = [s["customMetrics"]["rocksdbGetCount"] for s in states if s["numRowsUpdated"]]
+    assert max(lookups) <= 2 * min(lookups)
+
+
 def test_lookup_layout_spreads_a_hot_key(spark, tmp_path):
     key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id")))
     facts = spark.range(6000).select(
