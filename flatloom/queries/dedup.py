@@ -119,17 +119,12 @@ def dedup_any_supplier(spark, sf_dir):
 
 @query(f"""
     select album_key, track_key, track_name from (
-        select *, row_number() over (partition by album_key order by pid desc, pos desc) rn from {WIDE}
-        where pid // 1000 = (select min(pid // 1000) from {WIDE}))
+        select *, row_number() over (partition by album_key order by pid desc, pos desc) rn from {WIDE})
     where rn = 1""")
 def last_write_by_ordinals(spark, sf_dir):
-    """The first slice's entries by their real places in the documents' arrays: the last one stands."""
+    """All entries by their real places in the documents' arrays: the last one stands."""
     docs = documents(spark, sf_dir, ["pid", "part"], ["pos", "album_key", "track_key", "track_name"])
-    first_pid = F.col(ORDERS.parents)[0]["pid"]
-    sliced = docs.withColumn("sl", F.floor(first_pid / 1000))
-    earliest = sliced.agg(F.min("sl").alias("sl"))
-    chosen = sliced.join(earliest, "sl", "left_semi").drop("sl")
-    wide = entry_rows(explode_parents(chosen, ORDERS, ordinals=True).withColumnRenamed("part", "_part"), ORDERS, True)
+    wide = entry_rows(explode_parents(docs, ORDERS, ordinals=True).withColumnRenamed("part", "_part"), ORDERS, True)
     # The places in the arrays follow one another within a document; a long order goes on in another.
     return last_write_wins(wide, "album_key", ["track_key", "track_name"], ["pid", "pos", PARENT_ORD, ENTRY_ORD])
 

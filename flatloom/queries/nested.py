@@ -15,6 +15,7 @@ from flatloom.operators.flatten import (
     parents_without_entries,
     wide_entries,
 )
+from flatloom.operators.undeclared import undeclared_document_fields, undeclared_fields
 from flatloom.plans.normalize import ParsedParents, parse_once
 from flatloom.queries.registry import WIDE, query
 from flatloom.schemas import DocumentModel
@@ -187,3 +188,27 @@ def several_documents_rejected(spark, sf_dir):
     found = quarantined(files, ORDERS).select(outcome, SOURCE, n.cast("long").alias("n"))
     orders = found.groupBy("outcome", SOURCE).agg(F.sum("n").alias("n"))
     return orders.groupBy("outcome").agg(F.count("*").alias("files"), F.sum("n").alias("entries"))
+
+
+@query("select '$.k' path, 'BIGINT' type, count(*) n from events")
+def undeclared_props(spark, sf_dir):
+    """The fields of the event properties, with types and counts, without a schema."""
+    return undeclared_fields(table(spark, sf_dir, "events"), "props")
+
+
+@query(f"""
+    with parents as (select o_orderkey pid, 0 part from orders union select pid, pos // 200 from {WIDE})
+    select '$.playlists[*].mood' path, 'STRING' type, count(*) n from parents where pid % 10 = 7
+    union all select '$.playlists[*].mood', 'BIGINT', count(*) from parents where pid % 100 = 3 having count(*) > 0
+    union all select '$.playlists[*].tracks[*].added', 'OBJECT<by: BIGINT, via: ARRAY<STRING>>', count(*) from {WIDE} where pos = 1""")
+def undeclared_in_documents(spark, sf_dir):
+    """Fields planted in the documents that the model does not name: a schema's reader would pass over them."""
+    text = F.col("value")
+    for pattern, planted in (
+        (r'"pid":([0-9]*7),', r'"pid":$1,"mood":"blue",'),
+        (r'"pid":((?:[0-9]*0)?3),', r'"pid":$1,"mood":5,'),
+        (r'"pos":1,', r'"pos":1,"added":{"by":3,"via":["x"]},'),
+    ):
+        text = F.regexp_replace(text, pattern, planted)
+    texts = spark.read.text(staged_documents(spark, sf_dir)).select(text.alias("value"))
+    return undeclared_document_fields(texts, "value", ORDERS)
