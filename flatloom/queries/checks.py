@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from flatloom.operators import checks
 from flatloom.operators.counts import table_counts
+from flatloom.operators.dependencies import discovered_dependencies
 from flatloom.operators.flatten import explode_parents, parent_rows
 from flatloom.plans.normalize import constraint_report, normalize
 from flatloom.queries.nested import documents, entries
@@ -158,3 +161,31 @@ def constraints_with_violations(spark, sf_dir):
     repeated = facts.filter("pid % 5 = 0 and pid % 7 != 0")
     broken = tables | {ORDERS.fact_table: lost.unionByName(repeated), "tracks": tables["tracks"].filter("track_key % 3 != 0")}
     return constraint_report(broken, ORDERS).filter("violations > 0")
+
+
+_SEARCHED = ("l_suppkey", "s_name", "s_nationkey", "s_acctbal", "l_partkey", "l_returnflag", "l_linestatus")
+
+
+def _all_dependencies(columns: tuple[str, ...], max_determinant: int) -> str:
+    """Every set of columns against every other column, then those of which no smaller set does as well."""
+    sets = [x for n in range(max_determinant + 1) for x in combinations(sorted(columns), n)]
+    tests = [
+        f"select [{', '.join(repr(c) for c in x)}]::varchar[] x, '{a}' a, "
+        f"(select count(*) from (select distinct {', '.join(x) or '1'} from j)) = "
+        f"(select count(*) from (select distinct {', '.join([*x, a])} from j)) ok"
+        for x in sets for a in columns if a not in x
+    ]
+    return f"""
+        with j as (select distinct {', '.join(columns)} from lineitem join supplier on l_suppkey = s_suppkey),
+        t as ({' union all '.join(tests)}), good as (select x, a from t where ok)
+        select array_to_string(x, ',') determinant, a dependent from good
+        where not exists (select 1 from good g where g.a = good.a and len(g.x) < len(good.x) and list_has_all(good.x, g.x))"""
+
+
+@query(_all_dependencies(_SEARCHED, 2))
+def dependencies_found(spark, sf_dir):
+    """What determines what among line items and their suppliers, found by a search with pruning."""
+    supplier = table(spark, sf_dir, "supplier")
+    rows = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    found = discovered_dependencies(rows, _SEARCHED, 2)
+    return found.select(F.array_join("determinant", ",").alias("determinant"), "dependent")
