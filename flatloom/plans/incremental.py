@@ -23,12 +23,13 @@ from flatloom.operators.dedup import dimension_table, first_slice_wins, min_per_
 from flatloom.operators.flatten import entry_rows, fact_rows, parent_rows
 from flatloom.plans.normalize import (
     LOAD_RULES,
+    PLACED_RULES,
     PLACES,
-    SLICE,
     attribute_combinations,
     dated_entries,
-    first_slice_dimension,
     parse_once,
+    placed_dimension,
+    placed_winners,
 )
 from flatloom.schemas import Dimension, DocumentModel
 from flatloom.scratch import empty, new_path, remove, stages, written
@@ -74,7 +75,7 @@ class Store:
 
     def _schema(self, table: str) -> StructType:
         schema = self.model.table_schema(table)
-        if self._dimension(table) is None or self.rule != "first_slice":
+        if self._dimension(table) is None or self.rule not in PLACED_RULES:
             return schema
         kinds = (LongType(), IntegerType(), IntegerType())
         return StructType([*schema.fields, *map(StructField, PLACES, kinds)])
@@ -136,8 +137,8 @@ class Store:
 
     def _collapsed(self, rows: DataFrame, dim: Dimension) -> DataFrame:
         attrs = [c for c in self.model.table_schema(dim.table).fieldNames() if c != dim.key]
-        if self.rule == "first_slice":
-            return first_slice_wins(rows, dim.key, attrs, SLICE, PLACES[1:])
+        if self.rule in PLACED_RULES:
+            return placed_winners(rows, dim.key, attrs, self.rule)
         collapse = min_per_column if self.rule == "min" else smallest_row
         return collapse(rows, dim.key, attrs)
 
@@ -191,9 +192,9 @@ def load_batch(docs: DataFrame, store: Store, batch: str) -> None:
     if not log.filter(F.col(BATCH) == batch).isEmpty():
         return
     model = store.model
-    by_slice = store.rule == "first_slice"
+    by_place = store.rule in PLACED_RULES
     with stages(store.spark):
-        parsed = parse_once(docs, model, ordinals=by_slice)
+        parsed = parse_once(docs, model, ordinals=by_place)
         # A file delivered twice within the batch counts once.
         files = delivered_files(parsed.rows(model.parent_columns, model.entry_columns), model)
         once = files.groupBy("unit").agg(F.min(F.struct(SOURCE, "n_entries")).alias("_file")).select("unit", "_file.*")
@@ -203,13 +204,13 @@ def load_batch(docs: DataFrame, store: Store, batch: str) -> None:
             return rows.join(fresh.select(SOURCE), SOURCE, "left_semi")
 
         facts = entry_rows(only_fresh(parsed.rows([model.parent_key], model.fact_columns)), model)
-        wide = entry_rows(only_fresh(parsed.rows([model.parent_key], model.entry_columns)), model, by_slice)
+        wide = entry_rows(only_fresh(parsed.rows([model.parent_key], model.entry_columns)), model, by_place)
         stage = new_path(store.spark, "batch-combinations")
 
         def write_dimensions() -> None:
-            if by_slice:
+            if by_place:
                 dated = dated_entries(wide)
-                store.write(batch, {d.table: first_slice_dimension(dated, d, True) for d in model.dimensions})
+                store.write(batch, {d.table: placed_dimension(dated, d, store.rule, True) for d in model.dimensions})
                 return
             distinct = attribute_combinations(wide, model)
             distinct.write.parquet(stage)

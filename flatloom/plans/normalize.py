@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from flatloom.functions import slice_range_start
 from flatloom.operators.checks import key_violations, not_null_violations, orphan_keys, total_violations
-from flatloom.operators.dedup import dimension_table, first_slice_wins
+from flatloom.operators.dedup import dimension_table, first_slice_wins, last_write_wins
 from flatloom.operators.flatten import (
     ENTRY_ORD,
     PARENT_ORD,
@@ -26,7 +26,9 @@ from flatloom.sinks.tables import read_tables, together, write_tables
 from flatloom.sources.documents import SOURCE
 
 SLICE = "slice_start"
-LOAD_RULES = ("min", "smallest", "any", "first_slice")
+LOAD_RULES = ("min", "smallest", "any", "first_slice", "last")
+# The rules under which the places of the rows decide.
+PLACED_RULES = ("first_slice", "last")
 
 
 def _dimension_columns(model: DocumentModel) -> list[str]:
@@ -91,9 +93,9 @@ def _parent_and_fact_tables(parsed: ParsedParents) -> dict[str, DataFrame]:
 def _dimension_tables(parsed: ParsedParents, rule: str, stage: str) -> dict[str, DataFrame]:
     """The dimensions under a rule; ``stage`` is where their common distinct rows are written."""
     model = parsed.model
-    if rule == "first_slice":
+    if rule in PLACED_RULES:
         dated = dated_entries(parsed.entries(*_dimension_columns(model), ordinals=True))
-        return {d.table: first_slice_dimension(dated, d) for d in model.dimensions}
+        return {d.table: placed_dimension(dated, d, rule) for d in model.dimensions}
     distinct = attribute_combinations(parsed.entries(*_dimension_columns(model)), model)
     distinct.write.parquet(stage)
     rows = parsed.spark.read.schema(distinct.schema).parquet(stage)
@@ -109,23 +111,30 @@ def dated_entries(entries: DataFrame) -> DataFrame:
     return entries.withColumn(SLICE, slice_range_start(F.col(SOURCE)))
 
 
-def first_slice_dimension(dated: DataFrame, dim: Dimension, with_places: bool = False) -> DataFrame:
-    """The dimension that slices inserted one by one leave, with the winners' places if asked for."""
+def placed_dimension(dated: DataFrame, dim: Dimension, rule: str, with_places: bool = False) -> DataFrame:
+    """The dimension under a rule of places, with the winners' places if asked for: what slices
+    inserted one by one leave ("first_slice"), or what the last of all writes leaves ("last")."""
     named = {out: src for out, src in dim.attributes.items() if out != dim.key}
     attrs = [F.col(src).alias(out) for out, src in named.items()]
     rows = dated.select(dim.key, *attrs, *PLACES)
-    kept = [*named, *PLACES] if with_places else list(named)
-    return first_slice_wins(rows, dim.key, kept, SLICE, PLACES[1:])
+    return placed_winners(rows, dim.key, [*named, *PLACES] if with_places else list(named), rule)
+
+
+def placed_winners(rows: DataFrame, key: str, kept: list[str], rule: str) -> DataFrame:
+    """The winner of each key by its places: slice, parent, entry."""
+    if rule == "last":
+        return last_write_wins(rows, key, kept, PLACES)
+    return first_slice_wins(rows, key, kept, SLICE, PLACES[1:])
 
 
 def normalize(docs: DataFrame, model: DocumentModel, rule: str = "min") -> dict[str, DataFrame]:
     """All target tables of the model, as DataFrames over the parsed parents.
 
-    ``rule`` is one of "min", "smallest", "any", or "first_slice" for what slices
-    inserted one after the other leave behind.
+    ``rule`` is one of "min", "smallest", "any", "first_slice" for what slices inserted one after
+    the other leave behind, or "last" for the last write over all slices by number.
     """
     _check_rule(rule)
-    parsed = parse_once(docs, model, ordinals=rule == "first_slice")
+    parsed = parse_once(docs, model, ordinals=rule in PLACED_RULES)
     stage = new_path(docs.sparkSession, "combinations")
     tables = _parent_and_fact_tables(parsed) | _dimension_tables(parsed, rule, stage)
     return {t: tables[t].select(*model.table_schema(t).fieldNames()) for t in model.tables}
@@ -139,7 +148,7 @@ def load(docs: DataFrame, model: DocumentModel, root: str, rule: str = "min") ->
     _check_rule(rule)
     spark = docs.sparkSession
     with stages(spark):
-        parsed = parse_once(docs, model, ordinals=rule == "first_slice")
+        parsed = parse_once(docs, model, ordinals=rule in PLACED_RULES)
         stage = new_path(spark, "combinations")
         together(
             spark,

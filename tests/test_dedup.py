@@ -10,7 +10,7 @@ from flatloom.plans.normalize import normalize
 from flatloom.schemas import PLAYLISTS
 from flatloom.sources.documents import read_documents
 
-RULES = ["min", "smallest", "any", "first_slice"]
+RULES = ["min", "smallest", "any", "first_slice", "last"]
 
 
 def test_rules_agree_on_clean_input(spark, tmp_path):
@@ -50,6 +50,8 @@ def test_rules_differ_on_conflicting_input(spark, conflicting):
     assert track_rows["smallest"] == [("t", "b", "al:7", 5)]
     # Slice 0 comes first, by number; in it, the last write stands.
     assert track_rows["first_slice"] == [("t", "k", "al:9", 8)]
+    # Of all writes the last one, slices by number.
+    assert track_rows["last"] == [("t", "b", "al:7", 5)]
     assert track_rows["any"][0] in {("t", "m", "al:5", 9), ("t", "k", "al:9", 8), ("t", "z", "al:0", 1), ("t", "b", "al:7", 5)}
 
 

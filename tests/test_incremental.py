@@ -100,7 +100,7 @@ def test_files_of_one_name_with_other_content_all_load(spark, tmp_path, store):
     assert rows(store.tables()["playlists"], "pid") == [(1,), (2,), (3,)]
 
 
-@pytest.mark.parametrize("rule", ["min", "smallest", "first_slice"])
+@pytest.mark.parametrize("rule", ["min", "smallest", "first_slice", "last"])
 def test_batches_collapse_under_every_rule(spark, tmp_path, rule):
     names = {0: ["z", "k"], 2000: ["b", "c"], 10000: ["a"]}
     for start, found in names.items():
@@ -115,7 +115,7 @@ def test_batches_collapse_under_every_rule(spark, tmp_path, rule):
         load_batch(read_documents(spark, [path], PLAYLISTS), store, f"b{i}")
     assert contents(finalize(store)) == expected
     with pytest.raises(ValueError, match="rule"):
-        Store(spark, folder, PLAYLISTS, "last")
+        Store(spark, folder, PLAYLISTS, "none")
 
 
 def test_facts_are_written_once(spark, folder, store, one_shot):
