@@ -12,6 +12,7 @@ from flatloom.operators.counts import (
     table_counts as count_tables,
 )
 from flatloom.operators.hitters import heavy_hitters
+from flatloom.operators.lookup import parents_of_keys, write_by_key
 from flatloom.operators.medians import median_by
 from flatloom.queries.nested import entries, entries_from_text
 from flatloom.queries.registry import WIDE, query
@@ -104,3 +105,26 @@ def heavy_hitters_skewed(spark, sf_dir):
     key = F.when(F.col("l_linenumber") <= 2, F.col("l_suppkey") % 13).otherwise(1000 + F.col("l_orderkey"))
     rows = table(spark, sf_dir, "lineitem").select(key.alias("key"), F.col("l_returnflag").alias("flag"))
     return heavy_hitters(rows, ["key", "flag"], 25)
+
+
+def _facts_by_part(spark, sf_dir):
+    facts = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pid"), "l_partkey")
+    path = new_path(spark, "facts-by-part")
+    write_by_key(facts, path, "l_partkey", "pid")
+    return path, facts.schema
+
+
+@query("select distinct l_partkey, l_orderkey pid from lineitem join part on l_partkey = p_partkey where p_size = 7 and p_brand like '%1'")
+def containing_any_of_few(spark, sf_dir):
+    """The parents of a short list of keys, which the scan itself filters by."""
+    path, schema = _facts_by_part(spark, sf_dir)
+    keys = table(spark, sf_dir, "part").filter("p_size = 7 and p_brand like '%1'").select("p_partkey")
+    return parents_of_keys(spark, path, schema, keys, "l_partkey", "pid")
+
+
+@query("select distinct l_partkey, l_orderkey pid from lineitem join part on l_partkey = p_partkey where p_size <= 25")
+def containing_any_of_many(spark, sf_dir):
+    """The parents of a long list of keys, joined with folders pruned at run time."""
+    path, schema = _facts_by_part(spark, sf_dir)
+    keys = table(spark, sf_dir, "part").filter("p_size <= 25").select("p_partkey")
+    return parents_of_keys(spark, path, schema, keys, "l_partkey", "pid")
