@@ -104,7 +104,7 @@ def phases(spark, sf_dir: str, repeats: int) -> dict[str, float]:
 
     def by_stream():
         with stages(spark):
-            files = max(1, spark.sparkContext.defaultParallelism // 2)
+            files = max(1, spark.sparkContext.defaultParallelism)
             stream = stream_documents(spark, source, ORDERS, "lines", files)
             load_by_stream(stream, ORDERS, new_path(spark, "stream"), "run", new_path(spark, "state"))
 

@@ -90,9 +90,11 @@ class Store:
     def create(self) -> None:
         """Empty tables and an empty log; anything that was there is replaced."""
         remove(self.spark, *[f"{self.root}/{table}" for table in self.model.tables], f"{self.root}/{PARTIALS}")
-        for table in self.model.tables:
-            rows = empty(self.spark, self._schema(table))
-            rows.write.mode("overwrite").parquet(f"{self.path(table)}/{BATCH}=none")
+
+        def write(table: str) -> None:
+            empty(self.spark, self._schema(table)).write.mode("overwrite").parquet(f"{self.path(table)}/{BATCH}=none")
+
+        together(self.spark, *[partial(write, table) for table in self.model.tables])
         remove(self.spark, f"{self.root}/{LOG}")
         empty(self.spark, LOG_SCHEMA).write.parquet(f"{self.root}/{LOG}/none")
 

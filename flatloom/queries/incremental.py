@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flatloom.operators.checks import require_empty
+from flatloom.operators.chunks import balanced_chunks
 from flatloom.operators.counts import table_counts
 from flatloom.operators.dedup import min_per_column
 from flatloom.operators.flatten import wide_entries
@@ -33,8 +34,8 @@ _TABLE_COUNTS = f"""
 
 
 def files_per_batch(spark) -> int:
-    """Half as many files as there are cores: several batches locally, few large ones on a cluster."""
-    return max(1, spark.sparkContext.defaultParallelism // 2)
+    """As many files as there are cores, so that none is idle: a few batches locally, large ones on a cluster."""
+    return max(1, spark.sparkContext.defaultParallelism)
 
 
 def _lines(spark, sf_dir):
@@ -51,6 +52,27 @@ def chunk_assignment(spark, sf_dir):
     return chunk_numbers(slices, "slice_id", 4)
 
 
+@query("""
+    with recursive w as (
+        select *, row_number() over (order by slice_id) i, sum(n) over (order by slice_id) p
+        from (select l_orderkey // 1000 slice_id, count(*) n from lineitem group by 1)),
+    b as (
+        select distinct y.p - x.p + x.n bound from w x join w y on y.i >= x.i
+        where y.p - x.p + x.n >= (select max(n) from w)),
+    g(bound, i, chunk_id, filled) as (
+        select bound, 1::bigint, 0::bigint, n::hugeint from b cross join w where i = 1
+        union all
+        select g.bound, w.i, case when g.filled + w.n > g.bound then g.chunk_id + 1 else g.chunk_id end,
+            case when g.filled + w.n > g.bound then w.n else g.filled + w.n end
+        from g join w on w.i = g.i + 1)
+    select slice_id, n, chunk_id from g join w using (i)
+    where bound = (select min(bound) from (select bound, max(chunk_id) most from g group by 1) where most < 4)""")
+def chunks_of_equal_size(spark, sf_dir):
+    """Four runs of slices whose largest has as few entries as can be."""
+    slices = table(spark, sf_dir, "lineitem").groupBy(slice_of("l_orderkey").alias("slice_id")).agg(F.count("*").alias("n"))
+    return balanced_chunks(slices, "slice_id", "n", 4)
+
+
 @query("""
     select l_partkey, min(s) suppkey, min(f) flag from (
         select l_orderkey // 5000 chunk, l_partkey, min(l_suppkey) s, min(l_returnflag) f
