@@ -16,12 +16,12 @@ from flatloom.llm.text import (
     SPACE,
     U64,
     Rolling,
-    byte_values,
     compressed,
     counted,
     decompressed,
     digests,
     id_key,
+    item_hashes,
     mix,
     owners,
     runs,
@@ -54,7 +54,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     starts, ends, size = starts[size > 0], ends[size > 0], size[size > 0]
     text = owners(offsets, starts)
     nth = np.arange(len(text)) - np.searchsorted(text, text, "left")
-    line = Rolling(byte_values(data)).ranges(starts, ends)
+    line = item_hashes(data, starts, ends)
     own = mix(line ^ mix(text.astype(U64) + U64(1)))
     order = np.argsort(own, kind="stable")
     sorted_own = own[order]

@@ -15,8 +15,8 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 from flatloom.llm.text import (
     SPACE,
     Rolling,
-    byte_values,
     counted,
+    item_hashes,
     mix,
     owners,
     runs,
@@ -79,13 +79,13 @@ class Texts:
         filled = inside[ends] > inside[starts]
         starts, ends = starts[filled], ends[filled]
         owner = owners(self.offsets, starts)
-        repeated = _after_first(owner, Rolling(byte_values(self.data)).ranges(starts, ends))
+        repeated = _after_first(owner, item_hashes(self.data, starts, ends))
         return counted(owner[repeated], self.n)
 
     def _n_repeat_words(self) -> np.ndarray:
         starts, ends = self._words()
         owner = owners(self.offsets, starts)
-        values = Rolling(byte_values(self.data)).ranges(starts, ends)
+        values = item_hashes(self.data, starts, ends)
         size = REPEAT_WINDOW
         covered = np.zeros(len(starts), bool)
         if len(starts) >= size:

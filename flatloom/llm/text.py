@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 # Work on about this many bytes at a time, which keeps the temporaries in the processor's cache.
 SLICE_BYTES = 1 << 16
+# Bytes from which on a range is hashed as a whole.
+LONG_ITEM = 512
 
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
@@ -131,6 +134,19 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE_VALUES[data]
 
 
+def item_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each range of bytes.
+
+    Polynomials modulo 2**64 agree on some different texts of 1,024 bytes and more, whatever their
+    base; so long ranges are hashed by XXH64, of which no such texts are known.
+    """
+    found = Rolling(byte_values(data)).ranges(starts, ends)
+    view = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero(ends - starts >= LONG_ITEM).tolist():
+        found[i] = xxhash.xxh64_intdigest(view[starts[i] : ends[i]], seed=LONG_ITEM)
+    return found
+
+
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of ``inside`` bytes; no run crosses a text boundary."""
     first, last = inside.copy(), inside.copy()
