@@ -118,7 +118,7 @@ def page_links(pages: DataFrame, url_column: str = "url", html_column: str = "ht
     tagged = pages.filter(F.contains(text, F.lit("canonical")) | F.contains(text, F.lit("http-equiv")))
     found = tagged.select(url.alias("url"), F.explode(targets).alias("target")).filter("target != ''")
     # Both tags are rare, and so are their targets: Python knows all entities.
-    found = found.withColumn("target", F.udf(html_text.unescape, "string")("target"))
+    found = found.withColumn("target", F.udf(html_text.unescape, "string", useArrow=True)("target"))
     target = F.col("target")
     scheme, site = F.regexp_extract("url", r"(?s)^(.*?)://", 1), F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
