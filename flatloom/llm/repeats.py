@@ -12,7 +12,9 @@
    something earlier; what they cover is removed.
 
 Rows with one id count as one document for what is earlier: of windows with equal content, the
-one with the smallest id, then the smallest start is the first, and a tie keeps both.
+one with the smallest id, then the smallest start is the first, and a tie keeps both. Rows without
+an id are documents of their own before all others, in the order of a hash of their texts; those with
+one text count as one.
 """
 
 from __future__ import annotations
@@ -22,12 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from flatloom.llm.matching import first_windows
 from flatloom.llm.text import (
+    NULL_ID,
     SPACE,
     U64,
     Rolling,
@@ -36,7 +39,6 @@ from flatloom.llm.text import (
     counted,
     decompressed,
     digests,
-    id_key,
     mix,
     owners,
     slices,
@@ -429,13 +431,23 @@ def _results(what: Repeats, output: str, extra: list[str]):
     return run
 
 
+def _document_key(id_column: str, text_column: str) -> Column:
+    """The id; without one, a key of the text's own below all ids from -2^62 on.
+
+    So rows without an id, however many, are not gathered under one key. An id that is smaller still
+    may share a key with such a row, and the two then count as rows with one id.
+    """
+    own = F.lit(NULL_ID) + F.shiftrightunsigned(F.xxhash64(F.col(f"`{text_column}`")), 2)
+    return F.coalesce(F.col(f"`{id_column}`").cast("long"), own)
+
+
 def without_repeats(docs: DataFrame, what: Repeats, id_column: str, text_column: str, output: str) -> DataFrame:
     """(row, n_units, n_removed, n_spans, kept) for every row of ``docs``; ``row`` has its other columns.
 
     ``output`` says what ``kept`` holds: the ``digest`` of what stays, or the ``text`` itself as
     bytes. The operators that call this state the rules for nulls and ties.
     """
-    sources = docs.select(id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
+    sources = docs.select(_document_key(id_column, text_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
     # Small next to the texts: eight bytes per repeated anchor. Written, as two steps read it.
     listed = written(candidates(sources, what), "repeated-anchors")
     release(docs.sparkSession)
@@ -447,7 +459,7 @@ def without_repeats(docs: DataFrame, what: Repeats, id_column: str, text_column:
     release(docs.sparkSession)
     # The other columns travel in a struct, so that their names cannot clash with those used here.
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("row")
-    rows = docs.select(others, id_key(id_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
+    rows = docs.select(others, _document_key(id_column, text_column).alias("id"), F.col(f"`{text_column}`").alias("text"))
     joined = compressed(rows).join(marks, "id", "left").select("row", "text", "cold", "hot", "kept")
     kept = StringType() if output == "digest" else BinaryType()
     counts = [StructField(name, LongType()) for name in ("n_units", "n_removed", "n_spans")]

@@ -30,9 +30,9 @@ def repeated_words(
     kept) per input row, where ``row`` holds the other columns and ``kept`` the SHA-256 of the
     words that stay, or with ``output="text"`` the text without the removed words.
 
-    A null or empty text has no words. A null id counts as one id below all others. Rows with
-    one id are one document: of equal windows, the smallest (id, start) is the first, and rows
-    that tie keep theirs. No rows give no rows. All text is read, however long.
+    A null or empty text has no words. Rows with a null id come before all others, in the order
+    of a hash of their texts, each text a document. Rows with one id are one document: of equal
+    windows, the smallest (id, start) is the first, and rows that tie keep theirs. No rows give no rows. All text is read, however long.
     """
     return without_repeats(docs, Repeats("words", window, anchor, FmIndex), id_column, text_column, output)
 

@@ -30,8 +30,8 @@ def repeated_bytes(
     ``kept`` is the SHA-256 of the bytes that stay, or with ``output="text"`` these bytes. A cut
     may fall inside a character, so they are binary.
 
-    A null text counts as empty, a null id as one id below all others. Rows with one id are one
-    document: of equal strings, the smallest (id, start) is the first, and rows that tie keep
+    A null text counts as empty. Rows with a null id come before all others, in the order of a
+    hash of their texts, each text a document. Rows with one id are one document: of equal strings, the smallest (id, start) is the first, and rows that tie keep
     theirs. No rows give no rows. All text is read, however long.
     """
     return without_repeats(docs, Repeats("bytes", window, anchor, RunLengthIndex), id_column, text_column, output)
