@@ -18,7 +18,7 @@ def squeezed(text_column: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), WHITE_SPACE, "")
 
 
-def _light(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def _light(docs: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
     """What the first two refinements look at: length, and the hash of the beginning."""
     text = F.col(f"`{text_column}`")
     return docs.select(
@@ -29,6 +29,7 @@ def _light(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         # The prefix needs the beginning of the text only; white space beyond it cannot matter
         # as long as equal texts get equal prefixes, so it is cut after squeezing.
         F.xxhash64(F.substring(squeezed(text_column), 1, PREFIX_CHARS)).alias("_prefix"),
+        *more,
     )
 
 
@@ -47,27 +48,20 @@ def decisions(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     light = written(_light(docs, id_column, text_column), "light")
     by_prefix = light.groupBy("_length", "_prefix").agg(F.count("*").alias("_n"))
     lengths = by_prefix.groupBy("_length").agg(F.sum("_n").alias("_same_length")).filter("_same_length > 1")
-    groups = by_prefix.join(lengths, "_length").filter("_n > 1").select("_length", "_prefix", F.lit(True).alias("_open"))
-    # Written, as the winners below, so that both sides of the join come straight from a shuffle
-    # and the rows of a large group can be split.
+    groups = by_prefix.join(lengths, "_length").filter("_n > 1").select("_length", "_prefix")
+    # Written, so that Catalyst knows their size: small ones are broadcast and no text is shuffled,
+    # large ones meet the texts in a shuffle, in which the rows of a large group can be split.
     groups = written(groups, "open-groups")
-    refined = light.join(groups, ["_length", "_prefix"], "left")
-    closed = refined.filter("_open is null").select(
+    closed = light.join(groups, ["_length", "_prefix"], "left_anti").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.lit(None).cast("string").alias("text_sha256"),
         "_id", "_length", "_prefix", "_chars",
     )
-    survivors = refined.filter("_open").select("_id").distinct()
-    texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), id_key(id_column).alias("_id"),
-                        F.col(f"`{text_column}`").alias("_text"))
+    # The keys come from the text itself, so ids, null ones too, play no part in who is read in full.
+    keyed = _light(docs, id_column, text_column, F.col(f"`{text_column}`").alias("_text"))
     full = written(
-        texts.join(survivors, "_id", "left_semi").select(
-            "doc_id",
-            "_id",
-            F.coalesce(F.char_length("_text"), F.lit(0)).alias("_chars"),
-            F.octet_length(squeezed("_text")).alias("_length"),
-            F.xxhash64(F.substring(squeezed("_text"), 1, PREFIX_CHARS)).alias("_prefix"),
-            F.sha2(squeezed("_text"), 256).alias("text_sha256"),
+        keyed.join(groups, ["_length", "_prefix"], "left_semi").select(
+            "doc_id", "_id", "_chars", "_length", "_prefix", F.sha2(squeezed("_text"), 256).alias("text_sha256")
         ),
         "full",
     )
@@ -78,9 +72,7 @@ def decisions(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
         ((F.col("_id") == F.col("w.i")) & (F.col("_chars") == -F.col("w.c"))).alias("kept"),
         "text_sha256", "_id", "_length", "_prefix", "_chars",
     )
-    # A row of an open group shares its id with others at most; those of closed groups are single.
-    wanted = groups.select("_length", "_prefix")
-    return closed.unionByName(joined.join(wanted, ["_length", "_prefix"], "left_semi").select(closed.columns))
+    return closed.unionByName(joined.select(closed.columns))
 
 
 def with_digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
