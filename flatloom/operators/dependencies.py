@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from itertools import combinations
+from math import prod
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,6 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from flatloom.scratch import stages, written
 
-# Column sets whose combinations are counted by one job: each multiplies the rows it hashes.
-SETS_PER_JOB = 24
-
 _SCHEMA = StructType([StructField("determinant", ArrayType(StringType())), StructField("dependent", StringType())])
 Columns = frozenset[str]
 
@@ -21,19 +19,51 @@ Columns = frozenset[str]
 class _Counts:
     """How many distinct combinations sets of columns have; each set is counted once.
 
-    The rows are the distinct combinations of all columns. NULL is a value like any other.
+    The rows are the distinct combinations of all columns. NULL is a value like any other. A set has as many
+    combinations as it has with all columns that it determines, so of the sets that determine the same
+    columns, as far as counts have shown, one is counted.
     """
 
     def __init__(self, rows: DataFrame):
         self._rows, self._known = rows, {frozenset(): min(1, rows.limit(1).count())}
+        # Sets with a larger one that has as many combinations.
+        self._equal: list[tuple[Columns, Columns]] = []
+
+    def _closure(self, columns: Columns) -> Columns:
+        """The columns with all that they are known to determine."""
+        closed, before = columns, None
+        while closed != before:
+            before = closed
+            for x, y in self._equal:
+                closed = closed | y if x <= closed else closed
+        return closed
+
+    def _count(self, columns: Columns) -> int:
+        """One set per job: only its columns are hashed and shuffled, and each row once."""
+        if columns == frozenset(self._rows.columns):
+            return self._rows.count()
+        return self._rows.select(*(F.col(f"`{c}`") for c in sorted(columns))).distinct().count()
+
+    def _add(self, columns: Columns) -> None:
+        closed = self._closure(columns)
+        n = next((n for x, n in self._known.items() if self._closure(x) == closed), None)
+        # Columns that the others of the set determine need not be read.
+        least = columns
+        for c in sorted(columns):
+            least = least - {c} if c in self._closure(least - {c}) else least
+        n = self._count(least) if n is None else n
+        for x, known in self._known.items():
+            if known == n and (x < columns or columns < x):
+                self._equal.append((x, columns) if x < columns else (columns, x))
+        self._known[columns] = n
 
     def ensure(self, sets: Iterable[Columns]) -> None:
-        missing = sorted({s for s in sets if s not in self._known}, key=sorted)
-        for at in range(0, len(missing), SETS_PER_JOB):
-            part = missing[at : at + SETS_PER_JOB]
-            counts = [F.count_distinct(F.struct(*(F.col(f"`{c}`") for c in sorted(s)))).alias(f"n{i}") for i, s in enumerate(part)]
-            found = self._rows.agg(*counts).first()
-            self._known |= {s: found[i] for i, s in enumerate(part)}
+        missing = {s for s in sets if s not in self._known}
+        for size in sorted({len(s) for s in missing}):
+            # The smallest first: what they show saves counting larger ones.
+            some = [s for s in missing if len(s) == size]
+            for s in sorted(some, key=lambda s: (prod(self._known.get(frozenset({c}), 1) for c in s), sorted(s))):
+                self._add(s)
 
     def __getitem__(self, columns: Columns) -> int:
         return self._known[columns]
@@ -80,8 +110,8 @@ def minimal_dependencies(rows: DataFrame, columns: Sequence[str], max_determinan
 def discovered_dependencies(rows: DataFrame, columns: Sequence[str], max_determinant: int = 3) -> DataFrame:
     """(determinant, dependent), the minimal dependencies between the columns as they hold in the rows.
 
-    The rows shrink to their distinct combinations first, and every count has a partial step. What the
-    driver holds are numbers, one per set of columns; their number depends on the columns alone.
+    The rows shrink to their distinct combinations first, and every count has a partial step. Sets that dependencies
+    already found make equal are counted once. What the driver holds are numbers, one per set of columns; their number depends on the columns alone.
     No rows make every column a constant.
     """
     spark = rows.sparkSession

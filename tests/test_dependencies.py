@@ -58,3 +58,14 @@ def test_pruned_sets_are_not_counted(spark, monkeypatch):
     rows = [(i, f"b{i}", i, float(i)) for i in range(9)]
     assert found(spark, rows) == brute(rows, 3)
     assert max(len(s) for s in counted if len(s) < len(COLUMNS)) == 2
+
+
+def test_sets_that_determine_the_same_columns_are_counted_once(spark, monkeypatch):
+    """Of two columns that determine each other, sets with one of them are counted, each in a job of its own columns."""
+    counted = []
+    count = dependencies._Counts._count
+    monkeypatch.setattr(dependencies._Counts, "_count", lambda self, columns: (counted.append(set(columns)), count(self, columns))[1])
+    rows = [(i % 5, f"b{i % 5}", i % 31, float(i * i % 37)) for i in range(100)]
+    assert found(spark, rows) == brute(rows, 3)
+    assert not [s for s in counted if {"a", "b"} < s and s != set(COLUMNS)]
+    assert not [s for s in counted if "a" in s and len(s) > 1 and s - {"a"} | {"b"} in counted and s != {"a", "b"}]
