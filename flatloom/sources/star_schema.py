@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from flatloom.functions import timestamp_to_epoch
-from flatloom.operators.numbering import positions_within
+from flatloom.operators.numbering import positions_by_slice, spread_by
 from flatloom.schemas import Dimension, DocumentModel, Reference, struct_of
 from flatloom.scratch import new_path
 
@@ -84,11 +84,12 @@ def slice_of(key: str):
 def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(slice_id, part, playlists): one document per slice, more where an order is long.
 
-    Orders and line items are shuffled once, together, on (slice, part): both levels of
-    nesting are then built where the rows lie. Each group is bounded by construction.
+    Line items are shuffled by their order, to number them. Orders and line items are then shuffled once,
+    together, on (slice, part): both levels of nesting are built where the rows lie. Each group is bounded
+    by construction.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    numbered = positions_within(lines, "l_orderkey", LINE_ORDER, "pos").select("l_orderkey", "pos", "l_suppkey")
+    numbered = positions_by_slice(lines, "l_orderkey", slice_of("l_orderkey"), LINE_ORDER).select("l_orderkey", "pos", "l_suppkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -118,7 +119,9 @@ def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("head"),
         F.lit(None).cast(ENTRY).alias("entry"),
     )
-    rows = orders.unionByName(entries).withColumn("slice_id", slice_of("pid")).repartition("slice_id", "part")
+    rows = orders.unionByName(entries).withColumn("slice_id", slice_of("pid"))
+    # Both tables are counted from the footers of their files.
+    rows = spread_by(rows, lines.count() + orders.count(), "slice_id", "part")
     parents = rows.groupBy("slice_id", "part", "pid").agg(
         F.first("head", ignorenulls=True).alias("head"),
         F.sort_array(F.collect_list("entry")).alias("tracks"),
@@ -139,10 +142,14 @@ def input_identity(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def staged_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with the documents as JSON, one per line; written once per session and input."""
+    """Folder with the documents as JSON, one per line, compressed; written once per session and input.
+
+    Every entry repeats names and keys: compressed, the text takes about a tenth of its size. A compressed file is
+    read by one task, so there are as many files as partitions of ``nested_documents``.
+    """
     key = input_identity(spark, sf_dir)
     if key not in _staged:
         path = new_path(spark, "documents")
-        nested_documents(spark, sf_dir).select("playlists").write.json(path)
+        nested_documents(spark, sf_dir).select("playlists").write.json(path, compression="gzip")
         _staged[key] = path
     return _staged[key]

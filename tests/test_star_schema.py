@@ -99,3 +99,24 @@ def test_a_split_order_is_one_parent(spark, tables, tmp_path):
         (0, None, False),
         (5, "high", True),
     ]
+
+
+def test_staged_documents_are_compressed_and_whole(spark, tables):
+    """The text repeats names in every entry; staged, it takes a fraction of that, with the same entries."""
+    path = staged_documents(spark, tables)
+    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    assert all(f.path.endswith(".json.gz") for f in files)
+    wide = wide_entries(read_documents(spark, path, ORDERS, "lines"), ORDERS)
+    assert sorted(tuple(r) for r in wide.select("pid", "pos", "track_key").collect()) == expected(spark, tables)
+
+
+def test_line_items_are_shuffled_once_to_be_numbered(spark, tables):
+    """Nothing but sizes of slices is written on the way, and slices beyond a task go over ranges."""
+    from flatloom.sources import star_schema
+
+    plan = nested_documents(spark, tables)._jdf.queryExecution().toString()
+    assert "Exchange hashpartitioning(l_orderkey" in plan and "range-offsets" not in plan and "spread" not in plan
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("flatloom.operators.numbering.TASK_ROWS", 50)
+        wide = wide_entries(star_schema.nested_documents(spark, tables), ORDERS)
+        assert sorted(tuple(r) for r in wide.select("pid", "pos", "track_key").collect()) == expected(spark, tables)
