@@ -13,7 +13,6 @@ SKETCH_K = 800
 BRACKET = 0.01
 # Distinct values of a group that may be ranked in one task; a larger bracket is cut into SPLITS first.
 RANKED, SPLITS = 1 << 18, 64
-FEW_GROUPS = 1000
 
 
 def _number(value: Column, kind: DataType) -> Column:
@@ -109,14 +108,11 @@ def _narrowed(counted: DataFrame) -> DataFrame:
 def _small(brackets: DataFrame) -> tuple[DataFrame, int]:
     """The brackets as a table of known size, and the number of values of the largest group.
 
-    A few groups come by way of the driver, which saves writing them; more are written.
+    They are written: the size of rows that come from the driver is not known, so all values would be
+    shuffled by their group to meet them, and sorted in as many tasks as there are groups.
     """
-    some = brackets.limit(FEW_GROUPS + 1).collect()
-    if len(some) <= FEW_GROUPS:
-        few = brackets.sparkSession.createDataFrame(some, brackets.schema)
-        return few, max((r["_total"] for r in some), default=0)
-    many = written(brackets, "median-brackets")
-    return many, many.agg(F.max("_total")).first()[0]
+    table = written(brackets, "median-brackets")
+    return table, table.agg(F.max("_total")).first()[0] or 0
 
 
 def _fitting(valued: DataFrame, brackets: DataFrame) -> DataFrame:

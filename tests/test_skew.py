@@ -93,3 +93,25 @@ def test_medians_whatever_the_sketch_says(spark, hot_rows, monkeypatch):
     monkeypatch.setattr(medians, "_brackets", lambda valued: valued.groupBy(F.col("_group").alias("_g")).agg(
         F.count("*").alias("_total"), F.max("_number").alias("_from"), F.max("_number").alias("_to")))
     assert rows(median_by(df, "key", "v").withColumn("median", F.col("median").cast("string"))) == built_in
+
+
+def test_values_are_not_gathered_by_group_to_meet_their_brackets(spark):
+    """A group with a third of the values would be sorted by one task."""
+    from flatloom.operators import medians
+
+    valued = spark.range(3000).selectExpr("id % 3 _group", "cast(id as double) _value", "cast(id as double) _number")
+    brackets, largest = medians._small(medians._brackets(valued))
+    plan = medians._sides(valued, brackets)._jdf.queryExecution().toString()
+    assert largest == 1000 and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_positions_by_slice(spark, hot_rows, monkeypatch):
+    """Slices that a task can sort and one that is too large, with NULL keys, give the numbers of one way."""
+    from flatloom.operators import numbering
+
+    nulls = spark.createDataFrame([(None, v % 30) for v in range(300)], "key int, v int")
+    df = hot_rows.unionByName(nulls)
+    expected = rows(numbering.positions_within(df, "key", ["v"]))
+    for most in (1 << 20, 250, 5):
+        monkeypatch.setattr(numbering, "TASK_ROWS", most)
+        assert rows(numbering.positions_by_slice(df, "key", F.floor(F.col("key") / 100), ["v"])) == expected
