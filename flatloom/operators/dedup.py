@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatloom.schemas import Dimension
+from flatloom.scratch import written
+
+# So many keys are a small side of a join.
+FEW_KEYS = 100_000
 
 
 def _names(key: str | Sequence[str]) -> list[str]:
@@ -83,8 +87,18 @@ def first_slice_wins(
     by the slice counted backwards, then by the order. The slice is a number. A row without a
     slice loses against any other, one without a place against any other of its slice.
     """
+    names = _names(key)
     back = rows.withColumn("_back", -F.col(slice_column).cast("decimal(20,0)"))
-    return last_write_wins(back, key, attrs, ["_back", *order_by])
+    # The earliest slices are found by hashing. Rows are sorted to find the last of a key, so only those of its
+    # earliest slice go on, as long as the keys are few enough to be sent to all tasks.
+    first = back.groupBy(*names).agg(F.max("_back").alias("_first"))
+    first = written(first.select(*[F.col(n).alias(f"_key{i}") for i, n in enumerate(names)], "_first"), "first-slices")
+    if first.count() > FEW_KEYS:
+        return last_write_wins(back, key, attrs, ["_back", *order_by])
+    same = F.col("_back").eqNullSafe(F.col("_first"))
+    for i, n in enumerate(names):
+        same &= F.col(n).eqNullSafe(F.col(f"_key{i}"))
+    return last_write_wins(back.join(first, same, "left_semi"), key, attrs, order_by)
 
 
 def new_keys(incoming: DataFrame, known: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -116,3 +116,16 @@ def test_unknown_rule(spark, tmp_path):
     docs = read_documents(spark, str(three_slices(tmp_path)), PLAYLISTS)
     with pytest.raises(ValueError, match="rule"):
         normalize(docs, PLAYLISTS, "best")
+
+
+def test_rows_of_later_slices_are_not_sorted(spark, monkeypatch):
+    """Only rows of the earliest slice of a key meet the sort; with many keys all rows do, with the same winners."""
+    data = [(k, s, p, f"{k} {s} {p}") for k in (None, 1, 2, 3) for s in (None, 4, 5) for p in (None, 0, 7) if k != 2 or s is None]
+    df = spark.createDataFrame(data, "key int, slice int, place int, name string")
+    found = dedup.first_slice_wins(df, "key", ["name"], "slice", ["place"])
+    plan = found._jdf.queryExecution().toString()
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    expected = [(1, "1 4 7"), (2, "2 None 7"), (3, "3 4 7"), (None, "None 4 7")]
+    assert rows(found) == expected
+    monkeypatch.setattr(dedup, "FEW_KEYS", 3)
+    assert rows(dedup.first_slice_wins(df, "key", ["name"], "slice", ["place"])) == expected
