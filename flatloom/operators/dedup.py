@@ -44,7 +44,9 @@ def min_per_column(
     the copies before that: better for dimensions, whose rows repeat many times over.
     """
     if distinct_first:
-        rows = rows.select(*_names(key), *attrs).distinct()
+        # A plain distinct is optimized away below minima, and all rows would be sorted; a condition on its groups keeps it.
+        once = rows.groupBy(*_names(key), *attrs).agg(F.count("*").alias("_copies"))
+        rows = once.filter(F.col("_copies") > 0).drop("_copies")
     return rows.groupBy(*_names(key)).agg(*[F.min(a).alias(a) for a in attrs])
 
 

@@ -15,9 +15,11 @@ PARENT_ORD = "parent_ord"
 ENTRY_ORD = "entry_ord"
 
 
-def explode_parents(docs: DataFrame, model: DocumentModel, ordinals: bool = False) -> DataFrame:
-    """One row per parent object, next to the file it came from."""
-    kept = [c for c in docs.columns if c == SOURCE]
+def explode_parents(
+    docs: DataFrame, model: DocumentModel, ordinals: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per parent object, next to the file it came from. ``keep`` names bookkeeping columns that stay."""
+    kept = [c for c in docs.columns if c == SOURCE or c in keep]
     if not ordinals:
         return docs.select(*kept, F.explode(model.parents).alias("_p")).select(*kept, "_p.*")
     numbered = docs.select(*kept, F.posexplode(model.parents).alias(PARENT_ORD, "_p"))
@@ -43,14 +45,15 @@ def parent_rows(parents: DataFrame, model: DocumentModel, keep: Sequence[str] =
 
 
 def entry_rows(
-    parents: DataFrame, model: DocumentModel, ordinals: bool = False, outer: bool = False
+    parents: DataFrame, model: DocumentModel, ordinals: bool = False, outer: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Wide entries: the parent key and every field of the entry.
 
     A parent with an empty or missing array yields no row, or with ``outer`` one row
     of NULLs. ``ordinals`` adds the places in both arrays, which order the writes.
+    ``keep`` names bookkeeping columns that stay.
     """
-    kept = [c for c in (SOURCE, PARENT_ORD) if c in parents.columns]
+    kept = [c for c in (SOURCE, PARENT_ORD, *keep) if c in parents.columns]
     keys = [*kept, model.parent_key]
     if ordinals:
         explode = F.posexplode_outer if outer else F.posexplode

@@ -20,8 +20,8 @@ from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, St
 from flatloom.functions import slice_range_start
 from flatloom.operators.checks import mismatches
 from flatloom.operators.dedup import first_slice_wins, last_write_wins, min_per_column, smallest_row
-from flatloom.operators.flatten import ENTRY_ORD, PARENT_ORD, entry_rows, parent_rows
-from flatloom.plans.normalize import SLICE, parse_once
+from flatloom.operators.flatten import ENTRY_ORD, PARENT_ORD, entry_rows, explode_parents, parent_rows
+from flatloom.plans.normalize import PLACED_RULES, SLICE, ParsedParents, attribute_combinations, dimension_columns, written_parents
 from flatloom.schemas import Dimension, DocumentModel
 from flatloom.scratch import empty, remove, stages, written
 from flatloom.sinks.tables import read_tables, together, write_tables
@@ -31,6 +31,8 @@ DELIVERY = "delivery"
 LOG, OUTCOMES, CONTRIBUTIONS, WINNERS, GONE = "load_log", "outcomes", "contributions", "winners", "gone"
 # The slice of documents whose file names no number.
 NO_SLICE = -1
+# Of each parent, found when it is parsed.
+DIGEST, N_ENTRIES = "_digest", "_n_entries"
 RULES = ("min", "smallest", "first_slice", "last")
 LOG_SCHEMA = StructType(
     [
@@ -130,8 +132,7 @@ def _collapsed(rows: DataFrame, dim: Dimension, rule: str, by_slice: bool) -> Da
     attrs = [out for out in dim.attributes if out != dim.key]
     key, places = [dim.key, SLICE] if by_slice else [dim.key], [PARENT_ORD, ENTRY_ORD]
     if rule in ("min", "smallest"):
-        # Copies go first: entries repeat their attributes, contributions hardly do.
-        found = min_per_column(rows, key, attrs, by_slice) if rule == "min" else smallest_row(rows, key, attrs)
+        found = (min_per_column if rule == "min" else smallest_row)(rows, key, attrs)
         return found.withColumns({c: F.lit(None).cast("int") for c in places})
     if by_slice:
         return last_write_wins(rows, key, [*attrs, *places], places)
@@ -140,15 +141,34 @@ def _collapsed(rows: DataFrame, dim: Dimension, rule: str, by_slice: bool) -> Da
     return first_slice_wins(rows, key, attrs, SLICE, places)
 
 
-def _content(columns: list[str]) -> Column:
-    """A digest of a slice's parents in whatever order; NULL is a value."""
-    parts = [part for c in columns for part in (F.col(c).isNull(), F.col(c))]
-    return F.concat_ws(":", F.count("*"), F.sum(F.xxhash64(*parts).cast("decimal(38,0)")))
+def _content() -> Column:
+    """A digest of a slice's parents in whatever order."""
+    return F.concat_ws(":", F.count("*"), F.sum(F.col(DIGEST).cast("decimal(38,0)")))
 
 
-def deliver(docs: DataFrame, store: CorrectableStore, delivery: int) -> None:
+def digested(parents: DataFrame, model: DocumentModel) -> ParsedParents:
+    """Write parents that carry the number of their slice, each with a digest and its number of entries.
+
+    In the digest NULL is a value.
+    """
+    parts = [part for c in parents.columns if c in model.parent_schema.fieldNames() for part in (F.col(c).isNull(), F.col(c))]
+    size = F.greatest(F.coalesce(F.size(model.entries), F.lit(0)), F.lit(0))
+    return written_parents(parents.withColumns({DIGEST: F.xxhash64(*parts), N_ENTRIES: size}), model)
+
+
+def parse_slices(docs: DataFrame, store: CorrectableStore) -> ParsedParents:
+    """The parents of whole slices, parsed and written once for as many deliveries as take them, or a part of them."""
+    number = F.coalesce(slice_range_start(F.col(SOURCE)), F.lit(NO_SLICE))
+    # The name of a file is read once for a document; parents and entries carry the number.
+    numbered = docs.withColumn(SLICE, number).drop(SOURCE)
+    return digested(explode_parents(numbered, store.model, store.rule in PLACED_RULES, [SLICE]), store.model)
+
+
+def deliver(docs: DataFrame | ParsedParents, store: CorrectableStore, delivery: int) -> None:
     """Take in whole slices, each new, corrected or unchanged; ``store.outcomes()`` says which.
 
+    They come as documents, or as parents that ``parse_slices`` or ``digested`` has written.
+
     Deliveries are numbered from 1; one that the log names is not taken again, and one that was cut
     short leaves nothing visible and can be taken again, as long as no later one has been taken. All documents of a slice, known by the
     first number in the name of its files, come in one delivery; documents whose name has none are a slice of their
@@ -164,14 +184,11 @@ def deliver(docs: DataFrame, store: CorrectableStore, delivery: int) -> None:
         return
     if delivery < newest:
         raise ValueError(f"delivery {delivery} comes after {newest}: take it under a new number")
-    placed = store.rule in ("first_slice", "last")
-    number = F.coalesce(slice_range_start(F.col(SOURCE)), F.lit(NO_SLICE)).alias(SLICE)
+    placed = store.rule in PLACED_RULES
     with stages(spark):
-        parsed = parse_once(docs, model, ordinals=placed)
-        heads = parsed.rows(model.parent_columns, model.entry_columns)
-        columns = [c for c in heads.columns if c not in (SOURCE, PARENT_ORD)]
-        size = F.greatest(F.coalesce(F.size(model.entries), F.lit(0)), F.lit(0))
-        versions = heads.groupBy(number).agg(_content(columns).alias("content"), F.sum(size).cast("long").alias("n_entries"))
+        parsed = docs if isinstance(docs, ParsedParents) else parse_slices(docs, store)
+        heads = parsed.rows([])
+        versions = heads.groupBy(SLICE).agg(_content().alias("content"), F.sum(N_ENTRIES).cast("long").alias("n_entries"))
         standing = store.standing()
         old = standing.select(SLICE, F.col("content").alias("_old"), F.col(DELIVERY).alias("_replaced"))
         changed = F.when(F.col("_old").isNull(), "new").when(F.col("_old") != F.col("content"), "corrected").otherwise("unchanged")
@@ -184,7 +201,7 @@ def deliver(docs: DataFrame, store: CorrectableStore, delivery: int) -> None:
         replaced = taken.filter("_replaced is not null").select(SLICE, F.col("_replaced").alias(DELIVERY))
 
         def only_taken(rows: DataFrame) -> DataFrame:
-            return rows.withColumn(SLICE, number).join(taken.select(SLICE), SLICE, "left_semi")
+            return rows.join(taken.select(SLICE), SLICE, "left_semi")
 
         def put(rows: DataFrame, folder: str) -> None:
             rows.write.mode("overwrite").parquet(f"{store.root}/{folder}/{DELIVERY}={delivery}")
@@ -193,12 +210,21 @@ def deliver(docs: DataFrame, store: CorrectableStore, delivery: int) -> None:
             put(parent_rows(only_taken(parsed.rows(model.parent_columns)), model, [SLICE]), model.parent_table)
 
         def write_facts() -> None:
-            rows = only_taken(entry_rows(parsed.rows([model.parent_key], model.fact_columns), model))
-            put(rows.select(*model.fact_columns, SLICE), model.fact_table)
+            put(entries(list(model.fact_columns)).select(*model.fact_columns, SLICE), model.fact_table)
+
+        def entries(fields: list[str]) -> DataFrame:
+            return entry_rows(only_taken(parsed.rows([model.parent_key], fields)), model, placed, keep=[SLICE])
+
+        def write_dimensions() -> None:
+            if placed:
+                sources = [entries([d.key, *d.attributes.values()]) for d in model.dimensions]
+            else:
+                # Copies go first, once for all dimensions: entries repeat their attributes, contributions hardly do.
+                once = attribute_combinations(entries(dimension_columns(model)), model, SLICE)
+                sources = [written(once, "combinations")] * len(model.dimensions)
+            together(spark, *[partial(write_dimension, d, rows) for d, rows in zip(model.dimensions, sources, strict=True)])
 
-        def write_dimension(dim: Dimension) -> None:
-            used = [dim.key, *dim.attributes.values()]
-            rows = only_taken(entry_rows(parsed.rows([model.parent_key], used), model, placed))
+        def write_dimension(dim: Dimension, rows: DataFrame) -> None:
             folder, schema = f"{CONTRIBUTIONS}/{dim.table}", store._contribution_schema(dim)
             named = _named(rows, dim, SLICE, *((PARENT_ORD, ENTRY_ORD) if placed else ()))
             per_slice = _collapsed(named, dim, store.rule, by_slice=True)
@@ -215,7 +241,7 @@ def deliver(docs: DataFrame, store: CorrectableStore, delivery: int) -> None:
             found = found.drop(dim.key).withColumnRenamed("_key", dim.key)
             put(found.select(*model.table_schema(dim.table).fieldNames(), GONE), f"{WINNERS}/{dim.table}")
 
-        together(spark, write_parents, write_facts, *[partial(write_dimension, d) for d in model.dimensions])
+        together(spark, write_parents, write_facts, write_dimensions)
         put(judged.select(SLICE, "outcome"), OUTCOMES)
         # The log comes last.
         put(taken.select(SLICE, "content", "n_entries"), LOG)

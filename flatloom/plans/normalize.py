@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,18 +31,18 @@ LOAD_RULES = ("min", "smallest", "any", "first_slice", "last")
 PLACED_RULES = ("first_slice", "last")
 
 
-def _dimension_columns(model: DocumentModel) -> list[str]:
+def dimension_columns(model: DocumentModel) -> list[str]:
     used = {d.key for d in model.dimensions} | {src for d in model.dimensions for src in d.attributes.values()}
     return [c for c in model.entry_columns if c in used]
 
 
-def attribute_combinations(entries: DataFrame, model: DocumentModel) -> DataFrame:
-    """The distinct attribute rows behind all dimensions.
+def attribute_combinations(entries: DataFrame, model: DocumentModel, *extra: str) -> DataFrame:
+    """The distinct attribute rows behind all dimensions, next to the ``extra`` columns.
 
     One hash aggregate shrinks the entries once; the dimensions then start from a set
     that does not grow with the number of copies. Minima over it equal those over all entries.
     """
-    return entries.select(*_dimension_columns(model)).distinct()
+    return entries.select(*extra, *dimension_columns(model)).distinct()
 
 
 @dataclass(frozen=True)
@@ -50,19 +50,25 @@ class ParsedParents:
     """Exploded parents, written once as nested Parquet so that text is parsed a single time.
 
     Catalyst does not narrow a struct below an explode to several of its fields, so the
-    wanted fields are named when the table is read.
+    wanted fields are named when the table is read. ``only`` is a condition on bookkeeping columns.
     """
 
     spark: SparkSession
     path: str
     schema: StructType
     model: DocumentModel
+    only: Column | None = None
 
     def rows(self, parent_fields: Iterable[str], entry_fields: Iterable[str] | None = None) -> DataFrame:
         """Parents with the named fields; ``entry_fields=None`` leaves the entries unread."""
         narrow = self.model.pruned(parent_fields, entry_fields)[self.model.parents].dataType.elementType
         extra = [f for f in self.schema if f.name not in self.model.parent_schema.fieldNames()]
-        return self.spark.read.schema(StructType([*extra, *narrow.fields])).parquet(self.path)
+        found = self.spark.read.schema(StructType([*extra, *narrow.fields])).parquet(self.path)
+        return found if self.only is None else found.filter(self.only)
+
+    def part(self, only: Column) -> ParsedParents:
+        """The parents for which a condition on bookkeeping columns holds."""
+        return replace(self, only=only if self.only is None else self.only & only)
 
     def entries(self, *entry_fields: str, ordinals: bool = False) -> DataFrame:
         """Wide entries with the named fields."""
@@ -77,8 +83,12 @@ class ParsedParents:
 
 def parse_once(docs: DataFrame, model: DocumentModel, ordinals: bool = False) -> ParsedParents:
     """Explode and write the parents of all documents."""
-    parents = explode_parents(docs, model, ordinals)
-    return ParsedParents(docs.sparkSession, write_new(parents, "parents"), parents.schema, model)
+    return written_parents(explode_parents(docs, model, ordinals), model)
+
+
+def written_parents(parents: DataFrame, model: DocumentModel) -> ParsedParents:
+    """Write exploded parents, with whatever bookkeeping columns they have."""
+    return ParsedParents(parents.sparkSession, write_new(parents, "parents"), parents.schema, model)
 
 
 def _check_rule(rule: str) -> None:
@@ -94,9 +104,9 @@ def _dimension_tables(parsed: ParsedParents, rule: str, stage: str) -> dict[str,
     """The dimensions under a rule; ``stage`` is where their common distinct rows are written."""
     model = parsed.model
     if rule in PLACED_RULES:
-        dated = dated_entries(parsed.entries(*_dimension_columns(model), ordinals=True))
+        dated = dated_entries(parsed.entries(*dimension_columns(model), ordinals=True))
         return {d.table: placed_dimension(dated, d, rule) for d in model.dimensions}
-    distinct = attribute_combinations(parsed.entries(*_dimension_columns(model)), model)
+    distinct = attribute_combinations(parsed.entries(*dimension_columns(model)), model)
     distinct.write.parquet(stage)
     rows = parsed.spark.read.schema(distinct.schema).parquet(stage)
     return {d.table: dimension_table(rows, d, rule, distinct_first=False) for d in model.dimensions}

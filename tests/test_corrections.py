@@ -1,14 +1,18 @@
 """A slice delivered again replaces its older version, and nothing else changes."""
 
+import json
 import shutil
 
 import pytest
 from documents import playlist, rows, track, write_slice
+from pyspark.sql import functions as F
 
-from flatloom.plans.corrections import CorrectableStore, deliver, entry_count_mismatch, publish
+import flatloom.queries.corrections as queries
+from flatloom.plans.corrections import CorrectableStore, deliver, entry_count_mismatch, parse_slices, publish
 from flatloom.plans.normalize import constraint_report, normalize
 from flatloom.schemas import PLAYLISTS
 from flatloom.sources.documents import read_documents
+from flatloom.sources.star_schema import ORDERS
 
 A = track(0, "tr:a", "b name", album="al:1", artist="ar:1")
 B = track(1, "tr:b", "b", album="al:2", artist="ar:2")
@@ -118,3 +122,53 @@ def test_no_documents_and_a_wrong_rule(spark, tmp_path):
     assert all(t.count() == 0 for t in store.tables().values())
     with pytest.raises(ValueError, match="rule"):
         CorrectableStore(spark, "x", PLAYLISTS, "none")
+
+
+def order(pid, name):
+    entries = [{"pos": p, "track_key": pid, "track_name": name, "album_key": 1, "album_name": "al", "artist_key": 2, "artist_name": "ar"} for p in (0, 1)]
+    return {"pid": pid, "name": "n", "collaborative": "true", "modified_at": 1, "part": 0, "tracks": entries}
+
+
+def test_three_deliveries_parse_the_text_once(spark, tmp_path, monkeypatch):
+    text = tmp_path / "text" / "documents.json"
+    text.parent.mkdir()
+    text.write_text("".join(json.dumps({"playlists": [order(n * 1000, f"name {n}")]}) + "\n" for n in range(12)))
+    monkeypatch.setattr(queries, "documents", lambda spark, sf_dir: read_documents(spark, str(text.parent), ORDERS, "lines"))
+
+    def then_broken(docs, store, delivery):
+        deliver(docs, store, delivery)
+        text.write_text("broken")
+
+    monkeypatch.setattr(queries, "deliver", then_broken)
+    store = queries._delivered_three_times(spark, str(tmp_path), "min")
+    assert outcomes(store, 1) == dict.fromkeys(range(12), "new")
+    assert outcomes(store, 2) == dict.fromkeys((1, 4, 7, 10), "corrected")
+    assert outcomes(store, 3) == dict.fromkeys((4, 10), "corrected") | dict.fromkeys((3, 11), "unchanged")
+    tables = store.tables()
+    bad = (1, 7)
+    assert rows(tables["tracks"], "track_key", "name") == rows(
+        spark.createDataFrame([(n * 1000, f"{'!' * (n in bad)}name {n}") for n in range(12)], "k long, name string")
+    )
+    assert rows(tables["playlist_tracks"], "pid", "pos") == rows(
+        spark.createDataFrame([(n * 1000, p) for n in range(12) for p in (0, 1) if p or n not in bad], "pid long, pos int")
+    )
+
+
+@pytest.mark.parametrize("rule", ["min", "smallest", "first_slice", "last"])
+def test_written_parents_are_delivered_whole_or_in_part(spark, tmp_path, rule):
+    store = CorrectableStore(spark, str(tmp_path / "store"), PLAYLISTS, rule)
+    store.create()
+    folder = slices(tmp_path / "1")
+    # A file whose name has no number, an entry without a key, and a copy.
+    nameless = [playlist(9, [{**A, "track_uri": None, "track_name": None}, {**A, "track_uri": None, "track_name": None, "pos": 1}])]
+    (tmp_path / "1" / "slice.5x-6.json").write_text(json.dumps({"playlists": nameless}))
+    parsed = parse_slices(read_documents(spark, folder, PLAYLISTS), store)
+    deliver(parsed.part(F.col("slice_start") < 10000), store, 1)
+    assert outcomes(store, 1) == {-1: "new", 0: "new", 2000: "new"}
+    deliver(parsed, store, 2)
+    assert outcomes(store, 2) == {-1: "unchanged", 0: "unchanged", 2000: "unchanged", 10000: "new"}
+    # Documents have the same content as the parents written from them.
+    deliver(read_documents(spark, folder, PLAYLISTS), store, 3)
+    assert set(outcomes(store, 3).values()) == {"unchanged"}
+    assert len(rows(store.tables()["playlist_tracks"])) == 7
+    assert rows(store.tables()["tracks"], "track_uri", "name")[-1] == (None, None)

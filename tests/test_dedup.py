@@ -129,3 +129,12 @@ def test_rows_of_later_slices_are_not_sorted(spark, monkeypatch):
     assert rows(found) == expected
     monkeypatch.setattr(dedup, "FEW_KEYS", 3)
     assert rows(dedup.first_slice_wins(df, "key", ["name"], "slice", ["place"])) == expected
+
+
+def test_copies_go_before_rows_are_sorted(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, None), (None, "c"), (None, "c")], "k long, name string").write.parquet(path)
+    found = dedup.min_per_column(spark.read.parquet(path), "k", ["name"], distinct_first=True)
+    assert rows(found) == [(1, "a"), (2, None), (None, "c")]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("SortAggregate") < plan.index("HashAggregate")
